@@ -36,11 +36,12 @@ def store_type_label(store_type: Column, cfg: ConversionConfig) -> Column:
 
 def buying_members(purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig) -> DataFrame:
     """``member_id`` of everyone with at least one counted purchase in the period."""
+    # No distinct on the goods: a semi join needs none, and an aggregate between
+    # its shuffle and the join would keep AQE from splitting a hot SKU.
     counted_goods = (
         goods.filter(~F.col("goods_class").isin(*cfg.excluded_classes))
         .filter(~F.col("sku").isin(*cfg.excluded_skus))
         .select("sku")
-        .distinct()
     )
     return (
         purchase.filter(F.col("channel").isin(*cfg.channels))
@@ -99,28 +100,32 @@ def _flags_per_id(members: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def _count_ids(ids: DataFrame, total: str, new: str, old: str) -> DataFrame:
-    return ids.groupBy("store_code").agg(
-        F.count("*").alias(total),
-        F.count_if("is_new").alias(new),
-        F.count_if("is_old").alias(old),
-    )
-
-
 def store_counts(members: DataFrame, contact: DataFrame, cfg: ConversionConfig) -> DataFrame:
-    """Six distinct counts per service store; ``members`` as given by `qualifying_members`."""
-    buyers = _count_ids(_flags_per_id(members, "member_id"), "buyers", "new_buyers", "old_buyers")
-    # A NULL channel id matches nothing; dropping it first also keeps the NULLs
-    # out of the shuffle.
-    union_ids = _flags_per_id(members.filter(F.col("union_id").isNotNull()), "union_id")
-    added = _count_ids(
-        union_ids.join(contact_ids(contact, cfg), "union_id", "left_semi"),
-        "added",
-        "new_added",
-        "old_added",
-    )
-    return buyers.join(added, "store_code", "left").select(
-        "store_code", *[F.coalesce(c, F.lit(0)).alias(c) for c in DETAIL_COUNTS]
+    """Six distinct counts per service store; ``members`` as given by `qualifying_members`.
+
+    Buyer ids and channel ids are stacked and counted together, so the stores
+    are shuffled once. Whether a channel id is a contact is a marker from a left
+    join, not a filter: a filter would be pushed into the members' scan and the
+    two branches could no longer share it. The ids without a value are one row
+    per store by then.
+    """
+    buyers = _flags_per_id(members, "member_id").withColumn("counts_as", F.lit("buyer"))
+    contacts = contact_ids(contact, cfg).withColumn("counts_as", F.lit("added"))
+    added = _flags_per_id(members, "union_id").join(contacts, "union_id", "left")
+    columns = ["store_code", "counts_as", "is_new", "is_old"]
+    is_buyer, is_added = F.col("counts_as") == "buyer", F.col("counts_as") == "added"
+    return (
+        buyers.select(*columns)
+        .union(added.select(*columns))
+        .groupBy("store_code")
+        .agg(
+            F.count_if(is_buyer).alias("buyers"),
+            F.count_if(is_added).alias("added"),
+            F.count_if(is_buyer & F.col("is_new")).alias("new_buyers"),
+            F.count_if(is_added & F.col("is_new")).alias("new_added"),
+            F.count_if(is_buyer & F.col("is_old")).alias("old_buyers"),
+            F.count_if(is_added & F.col("is_old")).alias("old_added"),
+        )
     )
 
 

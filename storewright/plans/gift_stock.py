@@ -37,5 +37,6 @@ def run(
 
     mismatch = spark.read.parquet(paths["mismatch"])
     write_table(ops.rejected_products(mismatch), paths["rejected_products"])
-    write_adjustments(ops.adjustments(mismatch, cfg), paths["adjustments"], source_headers)
+    rejected = spark.read.parquet(paths["rejected_products"])
+    write_adjustments(ops.adjustments(mismatch, cfg, rejected), paths["adjustments"], source_headers)
     return paths

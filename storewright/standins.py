@@ -26,7 +26,7 @@ CONFIG = ConversionConfig(
 )
 BOT = "assistant"
 # Topic rules of the offline classifier, in order.
-TOPIC_RULES = {"greeting": r"\?", "delivery": "(ing|ung|tion) ", "payment": "[0-9]", "return": "que|der|the "}
+TOPIC_RULES = {"delivery": "keit[ .,]", "coupon": "Que |Les ", "repair": "And |Tion", "quality": "er[.]$", "points": "and[.]"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
