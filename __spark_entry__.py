@@ -172,6 +172,9 @@ def queries() -> dict[str, Query]:
         "conversion_detail": _detail,
         "conversion_detail_rates": lambda s, d: _rounded(reports.detail_report(_detail(s, d))),
         "region_report": lambda s, d: _rounded(reports.region_report(_detail(s, d), CONFIG)),
+        "sorted_region_report": lambda s, d: _rounded(
+            reports.sort_region_report(reports.region_report(_detail(s, d), CONFIG))
+        ),
         "national_row": lambda s, d: _rounded(reports.national_row(_detail(s, d), CONFIG)),
         "subregion_report": lambda s, d: _rounded(reports.subregion_report(_detail(s, d), CONFIG)),
         "lagging_subregions": lambda s, d: _rounded(reports.lagging_subregions(_detail(s, d), CONFIG)),
@@ -377,6 +380,9 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * REPLACE (" + ", ".join(f"round({r}, 9) AS {r}" for r, _, _ in _PAIRS) + ") FROM rated"
         ),
         "region_report": _conversion_sql(_REGION),
+        "sorted_region_report": _conversion_sql(
+            f"SELECT * FROM ({_REGION}) ORDER BY level = 'national', overall_add_rate, region"
+        ),
         "national_row": _conversion_sql(_NATIONAL),
         "subregion_report": _conversion_sql(_SUBREGION),
         "lagging_subregions": _conversion_sql(

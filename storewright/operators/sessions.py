@@ -22,7 +22,8 @@ from storewright.functions.text import clean_transcript, strip_leading_newlines
 Classifier = Callable[[list[str]], list[str]]
 ClassifierFactory = Callable[[], Classifier]
 
-FENCED_JSON = r"(?s)```(?:json)?(.*)```"
+FENCED_JSON = r"(?s)```(?:json)?(.*?)```"
+WHOLE_OBJECT = r"(?s)^\s*\{.*\}\s*$"
 
 
 def bot_sessions(session: DataFrame, bot: str) -> DataFrame:
@@ -56,11 +57,12 @@ def parse_labels(answer: Column, spec: LabelSpec) -> Column:
     """
     stripped = strip_leading_newlines(answer)
     fenced = F.regexp_extract(stripped, FENCED_JSON, 1)
-    # A map keeps "key is missing" and "key is null" apart.
-    labels = F.from_json(F.when(fenced != "", fenced).otherwise(stripped), "map<string,string>")
-    complete = F.coalesce(
-        F.map_contains_key(labels, "is_service") & F.map_contains_key(labels, "category"), F.lit(False)
-    )
+    body = F.when(fenced != "", fenced).otherwise(stripped)
+    # A map keeps "key is missing" and "key is null" apart. The parser would
+    # ignore text after the object, hence the check of its end.
+    labels = F.from_json(body, "map<string,string>", {"allowSingleQuotes": "false"})
+    has_keys = F.map_contains_key(labels, "is_service") & F.map_contains_key(labels, "category")
+    complete = F.coalesce(body.rlike(WHOLE_OBJECT) & has_keys, F.lit(False))
 
     def label(key: str, fallback: str) -> Column:
         return F.when(complete, F.try_element_at(labels, F.lit(key))).otherwise(fallback).alias(key)

@@ -33,8 +33,8 @@ ADJUSTMENT_COLUMNS = [
 
 
 def _figure(name: str) -> Column:
-    """A stock figure as double; NaN from an export is a missing value."""
-    return F.nullif(F.col(name).cast("double"), F.lit(float("nan")))
+    """A stock figure as double; NaN, or text that is no number, is a missing value."""
+    return F.nullif(F.col(name).try_cast("double"), F.lit(float("nan")))
 
 
 def _whole_units(figure: Column) -> Column:
@@ -43,7 +43,12 @@ def _whole_units(figure: Column) -> Column:
 
 
 def stock_mismatch(stock: DataFrame) -> DataFrame:
-    """Rows whose two figures differ or of which one is missing, with a clean store code."""
+    """Rows whose two figures differ or of which one is missing, with a clean store code.
+
+    In an export read as text, rows with an empty store figure are left out.
+    """
+    if dict(stock.dtypes)["store_stock"] == "string":
+        stock = stock.filter(~F.col("store_stock").eqNullSafe(""))
     return (
         stock.withColumns({"store_stock": _figure("store_stock"), "shelf_stock": _figure("shelf_stock")})
         .filter(

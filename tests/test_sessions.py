@@ -38,6 +38,9 @@ def test_only_bot_sessions_with_text(spark):
         ("", FAILED),
         (None, FAILED),
         ("[1]", FAILED),
+        ('{"is_service":"1","category":"x"} and more', FAILED),
+        ("{'is_service':'1','category':'x'}", FAILED),
+        ('```json\n{"is_service":"1","category":"x"}\n``` or ```{}```', ("1", "x", "ok")),
         ("```json\nnot json\n```", FAILED),
     ],
 )

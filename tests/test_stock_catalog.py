@@ -38,6 +38,14 @@ def test_mismatch_keeps_missing_figures_and_drops_equal_ones(mismatch):
     assert kept == every - {("T1", "S2"), ("T9", "S1")}
 
 
+def test_figures_read_as_text(spark):
+    rows = [("T", "a", "k", "1", ""), ("T", "b", "k", "1", None), ("T", "c", "k", "1", "3"), ("U", "d", "k", "x", "3")]
+    schema = "title string, store_code string, sku string, shelf_stock string, store_stock string"
+    mismatch = ops.stock_mismatch(spark.createDataFrame(rows, schema))
+    assert {r.store_code for r in mismatch.collect()} == {"b", "c", "d"}
+    assert {(r.store_code, r.adjust_qty) for r in ops.adjustments(mismatch, CFG).collect()} == {("b", None), ("c", 2)}
+
+
 def test_rejected_products(mismatch):
     assert {r.title for r in ops.rejected_products(mismatch).collect()} == {"T2", "T5", "T6", "T7"}
 
