@@ -107,8 +107,7 @@ def _texts(spark: SparkSession, sf_dir: str, mode: str = "lines") -> DataFrame:
 
 
 def _keyword_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = sessions.keyword_labels(F.col("text"), TOPIC_RULES, SPEC)
-    return _texts(spark, sf_dir).select("session_id", labels.alias("labels")).select("session_id", "labels.*")
+    return sessions.keyword_labels(_texts(spark, sf_dir), TOPIC_RULES, SPEC)
 
 
 def _rule_classifier(head: str, tail: str, rules: dict[str, str]):
@@ -135,8 +134,7 @@ def _classified_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = sessions.parse_labels(F.col("answer"), SPEC).alias("labels")
-    return standins.answer(spark, sf_dir).select("doc_id", labels).select("doc_id", "labels.*")
+    return sessions.parse_answers(standins.answer(spark, sf_dir), SPEC)
 
 
 # --- gift stock and product lists --------------------------------------------

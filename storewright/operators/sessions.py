@@ -48,45 +48,56 @@ def build_prompt(text: Column, spec: LabelSpec) -> Column:
     return F.concat(F.lit(head), text, F.lit(tail))
 
 
-def parse_labels(answer: Column, spec: LabelSpec) -> Column:
-    """Struct (is_service, category, label_status) from a raw answer.
+def parse_answers(answers: DataFrame, spec: LabelSpec) -> DataFrame:
+    """Replace the column ``answer`` by is_service, category and label_status.
 
-    The answer is a JSON object with both keys, bare or in a code fence. An
+    An answer is a JSON object with both keys, bare or in a code fence. An
     absent answer, bad JSON or a missing key gives the fallback pair and the
-    status 'failed'.
+    status 'failed'. Each step is a column of its own, so that Spark parses an
+    answer once.
     """
-    stripped = strip_leading_newlines(answer)
-    fenced = F.regexp_extract(stripped, FENCED_JSON, 1)
-    body = F.when(fenced != "", fenced).otherwise(stripped)
+    stripped = strip_leading_newlines(F.col("answer"))
+    fenced = F.nullif(F.regexp_extract(stripped, FENCED_JSON, 1), F.lit(""))
     # A map keeps "key is missing" and "key is null" apart. The parser would
     # ignore text after the object, hence the check of its end.
-    labels = F.from_json(body, "map<string,string>", {"allowSingleQuotes": "false"})
-    has_keys = F.map_contains_key(labels, "is_service") & F.map_contains_key(labels, "category")
-    complete = F.coalesce(body.rlike(WHOLE_OBJECT) & has_keys, F.lit(False))
+    body = F.col("body")
+    parsed = F.when(
+        body.rlike(WHOLE_OBJECT), F.from_json(body, "map<string,string>", {"allowSingleQuotes": "false"})
+    )
+    complete = F.map_contains_key("parsed", "is_service") & F.map_contains_key("parsed", "category")
 
     def label(key: str, fallback: str) -> Column:
-        return F.when(complete, F.try_element_at(labels, F.lit(key))).otherwise(fallback).alias(key)
-
-    return F.struct(
-        label("is_service", spec.failed_is_service),
-        label("category", spec.failed_category),
-        F.when(complete, "ok").otherwise("failed").alias("label_status"),
+        return F.when(F.col("complete"), F.try_element_at("parsed", F.lit(key))).otherwise(fallback)
+
+    kept = [c for c in answers.columns if c != "answer"]
+    return (
+        answers.withColumn("body", F.coalesce(fenced, stripped))
+        .withColumn("parsed", parsed)
+        .withColumn("complete", F.coalesce(complete, F.lit(False)))
+        .select(
+            *kept,
+            label("is_service", spec.failed_is_service).alias("is_service"),
+            label("category", spec.failed_category).alias("category"),
+            F.when(F.col("complete"), "ok").otherwise("failed").alias("label_status"),
+        )
     )
 
 
-def keyword_labels(text: Column, rules: dict[str, str], spec: LabelSpec) -> Column:
+def keyword_labels(texts: DataFrame, rules: dict[str, str], spec: LabelSpec) -> DataFrame:
     """Offline labels without a classifier: the first topic whose pattern occurs in the text.
 
-    ``rules`` maps topic -> regular expression and is tried in order. A plain
-    column expression, so no deduplication and no shuffle is needed.
+    ``rules`` maps topic -> regular expression and is tried in order. Column
+    expressions only, so no deduplication and no shuffle is needed.
     """
-    category = F.lit(None).cast("string")
-    for topic, pattern in reversed(list(rules.items())):
-        category = F.when(text.rlike(pattern), topic).otherwise(category)
-    return F.struct(
-        F.when(category.isNotNull(), "1").otherwise("0").alias("is_service"),
-        F.coalesce(category, F.lit(spec.other)).alias("category"),
-        F.when(text.isNotNull(), "ok").otherwise("failed").alias("label_status"),
+    topic = F.lit(None).cast("string")
+    for name, pattern in reversed(list(rules.items())):
+        topic = F.when(F.col("text").rlike(pattern), name).otherwise(topic)
+    status = F.when(F.col("text").isNotNull(), "ok").otherwise("failed")
+    return texts.select("session_id", topic.alias("topic"), status.alias("label_status")).select(
+        "session_id",
+        F.when(F.col("topic").isNotNull(), "1").otherwise("0").alias("is_service"),
+        F.coalesce("topic", F.lit(spec.other)).alias("category"),
+        "label_status",
     )
 
 
@@ -103,7 +114,6 @@ def text_labels(
     """
     prompts = (
         texts.select("text")
-        .filter(F.col("text").isNotNull())
         .distinct()
         .select(text_hash(F.col("text")).alias("text_hash"), build_prompt(F.col("text"), spec).alias("prompt"))
     )
@@ -123,13 +133,13 @@ def text_labels(
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classifier = classifier_factory()
         for batch in batches:
+            # Here and not in the plan, where the filter would clean every text once more.
+            batch = batch[batch["prompt"].notnull()]
             batch["answer"] = answers(classifier, batch["prompt"].tolist())
             yield batch[["text_hash", "answer"]]
 
     answered = prompts.mapInPandas(ask, "text_hash binary, answer string")
-    return answered.select("text_hash", parse_labels(F.col("answer"), spec).alias("labels")).select(
-        "text_hash", "labels.*"
-    )
+    return parse_answers(answered, spec)
 
 
 def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec) -> DataFrame:

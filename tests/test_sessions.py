@@ -44,9 +44,9 @@ def test_only_bot_sessions_with_text(spark):
         ("```json\nnot json\n```", FAILED),
     ],
 )
-def test_parse_labels(spark, answer, labels):
-    df = spark.createDataFrame([(answer,)], "a string")
-    assert tuple(df.select(ops.parse_labels(F.col("a"), SPEC).alias("l")).first().l) == labels
+def test_parse_answers(spark, answer, labels):
+    df = spark.createDataFrame([(7, answer)], "id int, answer string")
+    assert tuple(ops.parse_answers(df, SPEC).first()) == (7, *labels)
 
 
 def test_prompt_holds_instructions_and_text(spark):
@@ -61,8 +61,7 @@ def test_keyword_labels_take_the_first_rule(spark):
     rules = {"repair": "broken", "coupon": "coupon|voucher"}
     rows = [("a", "voucher broken"), ("b", "my voucher"), ("c", "hello"), ("d", None)]
     df = spark.createDataFrame(rows, "session_id string, text string")
-    got = df.select("session_id", ops.keyword_labels(F.col("text"), rules, SPEC).alias("l"))
-    assert labelled(got.select("session_id", "l.*")) == {
+    assert labelled(ops.keyword_labels(df, rules, SPEC)) == {
         "a": ("1", "repair", "ok"),
         "b": ("1", "coupon", "ok"),
         "c": ("0", fixed.OTHER_CATEGORY, "ok"),
@@ -98,7 +97,7 @@ def texts_of(spark, rows):
 
 def test_labels_stay_on_their_rows(spark):
     """A slow first text, a failing one and copies; a failure leaves its batch mates alone."""
-    rows = [("s0", "slow"), ("s1", "fast"), ("s2", "bad"), ("s3", "fast"), ("s4", "")]
+    rows = [("s0", "slow"), ("s1", "fast"), ("s2", "bad"), ("s3", "fast"), ("s4", ""), ("s5", None)]
     factory = echo_factory(*SPEC.prompt_parts(), slow="slow", fails="bad")
     got = labelled(ops.classify(texts_of(spark, rows), factory, SPEC, max_parallel=2))
     assert got == {
@@ -107,6 +106,7 @@ def test_labels_stay_on_their_rows(spark):
         "s2": FAILED,
         "s3": ("1", "fast", "ok"),
         "s4": ("1", "", "ok"),
+        "s5": FAILED,
     }
 
 
