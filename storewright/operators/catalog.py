@@ -11,18 +11,21 @@ from storewright.functions.text import page_number
 ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
 
 
-def page_links(pages: DataFrame, pattern: str = ANCHOR) -> DataFrame:
+def page_links(
+    pages: DataFrame, pattern: str = ANCHOR, link_group: int = 1, name_group: int = 2
+) -> DataFrame:
     """One row per link of a page: (page_id, position, href, name).
 
-    ``pattern`` has two groups, link and name. Both are cut from the same match,
-    so they cannot drift apart.
+    ``pattern`` matches one link with its name, for instance a whole table row,
+    in the two given groups. Both are cut from the same match, so they cannot
+    drift apart.
     """
     match = F.regexp_extract_all(F.col("html"), F.lit(pattern), F.lit(0))
     return pages.select("page_id", F.posexplode(match).alias("position", "match")).select(
         "page_id",
         "position",
-        F.regexp_extract("match", pattern, 1).alias("href"),
-        F.regexp_extract("match", pattern, 2).alias("name"),
+        F.regexp_extract("match", pattern, link_group).alias("href"),
+        F.regexp_extract("match", pattern, name_group).alias("name"),
     )
 
 

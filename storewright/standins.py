@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from storewright import fixed_values as fixed
 from storewright.config import ConversionConfig
@@ -29,8 +30,15 @@ BOT = "assistant"
 TOPIC_RULES = {"delivery": "keit[ .,]", "coupon": "Que |Les ", "repair": "And |Tion", "quality": "er[.]$", "points": "and[.]"}
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table. Its schema is looked up once; each lookup is a Spark job of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def shop(spark: SparkSession, sf_dir: str) -> DataFrame:

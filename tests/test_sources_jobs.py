@@ -51,6 +51,28 @@ def test_folder_takes_files_by_name(spark, tmp_path):
     assert got.select("file_name").distinct().count() == 2
 
 
+def test_workbooks(spark, tmp_path):
+    """The distribution and typing; the sheet parser itself is a stand-in here."""
+
+    def parse(content):
+        import io
+
+        import pandas as pd
+
+        return pd.read_csv(io.BytesIO(content))
+
+    put(tmp_path / "第1页.xlsx", "other,title,page_no\n1,T1,1\n2,,2\n")
+    put(tmp_path / "第2页.xlsx", "title,page_no\nT2,x\n")
+    put(tmp_path / "notes.txt", "no\n")
+    sheets = readers.read_workbooks(spark, str(tmp_path), "title string, page_no int", parse=parse)
+    assert sheets.dtypes == [("title", "string"), ("page_no", "int"), ("file_name", "string")]
+    assert sorted(map(tuple, sheets.collect()), key=str) == [
+        ("T1", 1, "第1页.xlsx"),
+        ("T2", None, "第2页.xlsx"),
+        (None, 2, "第1页.xlsx"),
+    ]
+
+
 def test_stock_exports(spark, tmp_path):
     head = "门店代码,商品代码,实时上架库存（包含虚拟）,门店实时库存（剔除未核销）,在途数\n"
     put(tmp_path / "title=001" / "a.csv", head + "''S1,k1,7,10,0\n''S2,k1,,3,0\n")

@@ -94,6 +94,15 @@ def test_page_links(spark):
     assert {tuple(r) for r in catalog.link_names(links).collect()} == {(1, "/a", "A"), (1, "/b", "B")}
 
 
+def test_product_rows_with_the_name_before_the_link(spark):
+    row = '<tr class="row"><td><b>{}</b></td><td>\n<a href="{}">edit</a></td></tr>'
+    html = "<table>" + row.format("ring box", "/edit/1") + row.format("bag", "/edit/2") + "</table>"
+    pages = spark.createDataFrame([(1, "u", html)], schemas.PAGES)
+    pattern = r'(?s)<tr class="row">.*?<b>([^<]*)</b>.*?<a href="([^"]*)"'
+    rows = catalog.page_links(pages, pattern, link_group=2, name_group=1).orderBy("position").collect()
+    assert [(r.href, r.name) for r in rows] == [("/edit/1", "ring box"), ("/edit/2", "bag")]
+
+
 def test_page_urls(spark):
     listing = spark.createDataFrame(
         [("x?a=", "x?a=&page=11"), ("y", "y&page=2"), ("z", "z&page=last"), ("n", None)],
