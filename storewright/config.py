@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storewright import fixed_values as fixed
@@ -26,6 +26,8 @@ class ConversionConfig:
     agent_store_type: str = fixed.AGENT_STORE_TYPE
     own_label: str = "own"
     agent_label: str = "agent"
+    # Name of the date column by which purchases and followers are partitioned, if they are.
+    day_partition: str | None = None
 
     # NTZ literals: folded by Catalyst, so the bounds reach the Parquet scan
     # whether the column is timestamp_ntz or timestamp.
@@ -41,6 +43,13 @@ class ConversionConfig:
     def in_period(self, ts: Column) -> Column:
         return ts.between(self.start_ts, self.end_ts)
 
+    def of_period(self, df: DataFrame, ts: str) -> DataFrame:
+        """Rows of the period. With a day partition the folders of other days are not even listed."""
+        rows = df.filter(self.in_period(F.col(ts)))
+        if self.day_partition is None:
+            return rows
+        return rows.filter(F.col(self.day_partition).between(F.lit(self.period_start), F.lit(self.period_end)))
+
 
 @dataclass(frozen=True)
 class LabelSpec:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from storewright.config import StockConfig
 from storewright.functions.text import page_number
 
+PAGES_PER_RUN = 10_000
 ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
 
 
@@ -40,13 +41,19 @@ def page_urls(listing: DataFrame, first_page: int = 1) -> DataFrame:
 
     ``last_href`` is the link to the last page; its number stands after the
     last ``=``. A listing without such a number, or with none left from
-    ``first_page`` on, has no pages.
+    ``first_page`` on, has no pages. A long listing is cut into runs of pages
+    that are spread over the tasks before they are written out.
     """
     last_page = page_number(F.col("last_href"))
+    run_starts = F.sequence(F.lit(first_page), F.col("last_page"), F.lit(PAGES_PER_RUN))
+    run_end = F.least(F.col("start") + PAGES_PER_RUN - 1, F.col("last_page"))
+    tasks = int(listing.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        listing.withColumn("last_page", last_page)
+        listing.select("base_url", last_page.alias("last_page"))
         .filter(F.col("last_page") >= first_page)
-        .select("base_url", F.explode(F.sequence(F.lit(first_page), F.col("last_page"))).alias("page_no"))
+        .select("base_url", "last_page", F.explode(run_starts).alias("start"))
+        .repartition(tasks, "base_url", "start")
+        .select("base_url", F.explode(F.sequence("start", run_end)).alias("page_no"))
         .withColumn("url", F.concat("base_url", F.lit("&page="), F.col("page_no").cast("string")))
     )
 

@@ -44,8 +44,8 @@ def buying_members(purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig)
         .select("sku")
     )
     return (
-        purchase.filter(F.col("channel").isin(*cfg.channels))
-        .filter(cfg.in_period(F.col("purchased_at")))
+        cfg.of_period(purchase, "purchased_at")
+        .filter(F.col("channel").isin(*cfg.channels))
         .filter(F.col("amount") > 0)
         .filter(~F.col("sku").isin(*cfg.excluded_skus))
         .select("member_id", "sku")
@@ -168,7 +168,7 @@ def new_followers(follower: DataFrame, cfg: ConversionConfig) -> DataFrame:
     A NULL guide is dropped along with the excluded ones.
     """
     return (
-        follower.filter(cfg.in_period(F.col("followed_at")))
+        cfg.of_period(follower, "followed_at")
         .filter(~F.col("guide_no").isin(*cfg.excluded_guides))
         .groupBy(trim_blanks(F.col("first_shop_code")).alias("store_code"))
         .agg(F.count_distinct("mobile").alias("new_followers"))

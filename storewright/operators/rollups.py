@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from storewright.config import ConversionConfig
 from storewright.functions.rates import rate_of_sums, safe_rate
+from storewright.operators.spread import spread_join
 
 # rate name -> (numerator, denominator)
 RATES = {
@@ -135,4 +136,4 @@ def with_group_totals(detail: DataFrame, key: str) -> DataFrame:
     window, which would gather a whole group in one task.
     """
     totals = detail.filter(F.col(key).isNotNull()).groupBy(key).agg(*_weighted_overall())
-    return detail.join(totals, key)
+    return spread_join(detail, totals, key, "inner", ["store_code"])

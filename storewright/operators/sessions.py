@@ -125,7 +125,7 @@ def text_labels(
         try:
             given = list(classifier(asked))
             if len(given) == len(asked):
-                return given
+                return [answer if isinstance(answer, str) else None for answer in given]
         except Exception:
             pass
         return [None] if len(asked) == 1 else [answers(classifier, [prompt])[0] for prompt in asked]

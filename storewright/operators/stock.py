@@ -3,8 +3,8 @@
 The quarantine works per product: one unreadable shelf figure among a product's
 mismatches rejects all its adjustments. It is an anti join with the short list
 of rejected titles, not a window per title, and a title's rows are spread over
-``TITLE_SLICES`` keys in it, so a product with a third of all rows is never
-gathered in one task.
+several keys in it, so a product with a third of all rows is never gathered in
+one task.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from storewright.config import StockConfig
 from storewright.functions.text import clean_code
+from storewright.operators.spread import spread_join
 
-# Keys per title in the anti join; the list of rejected titles grows by this factor.
-TITLE_SLICES = 16
+ROW_KEY = ["store_code", "sku"]
 
 ADJUSTMENT_COLUMNS = [
     "warehouse_code",
@@ -66,20 +66,6 @@ def rejected_products(mismatch: DataFrame) -> DataFrame:
     return mismatch.filter(unreadable).select("title").distinct()
 
 
-def title_slice() -> Column:
-    """Which of its title's slices a row is in. It follows from the row, so task retries agree."""
-    return F.pmod(F.xxhash64("store_code", "sku"), F.lit(TITLE_SLICES)).cast("int")
-
-
-def _without(mismatch: DataFrame, rejected: DataFrame) -> DataFrame:
-    every_slice = F.explode(F.sequence(F.lit(0), F.lit(TITLE_SLICES - 1)))
-    return (
-        mismatch.withColumn("slice", title_slice())
-        .join(rejected.select("title", every_slice.alias("slice")), ["title", "slice"], "left_anti")
-        .drop("slice")
-    )
-
-
 def adjustments(
     mismatch: DataFrame, cfg: StockConfig, rejected: DataFrame | None = None
 ) -> DataFrame:
@@ -95,16 +81,12 @@ def adjustments(
     constants = {"warehouse_code": cfg.warehouse_code, "adjust_type": cfg.adjust_type}
     constants.update(dict.fromkeys(cfg.blank_columns, ""))
     return (
-        _without(mismatch, rejected)
+        spread_join(mismatch, rejected.select("title"), "title", "left_anti", ROW_KEY)
         .withColumns({"adjust_qty": quantity, **{name: F.lit(v) for name, v in constants.items()}})
         .select(*ADJUSTMENT_COLUMNS, "title")
     )
 
 
 def only_products(stock: DataFrame, titles: DataFrame) -> DataFrame:
-    """Stock rows of the listed products: the real-stock list or one made by hand.
-
-    Repeated titles do no harm in a semi join. Without an aggregate on the list
-    AQE can split the rows of a hot title.
-    """
-    return stock.join(titles.select("title"), "title", "left_semi")
+    """Stock rows of the listed products: the real-stock list or one made by hand."""
+    return spread_join(stock, titles.select("title").distinct(), "title", "left_semi", ROW_KEY)

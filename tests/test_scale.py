@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -16,6 +17,7 @@ from storewright.config import LabelSpec, StockConfig
 from storewright.operators import conversion, reports
 from storewright.operators import sessions as session_ops
 from storewright.operators import stock as stock_ops
+from storewright.operators.spread import SLICES, spread_join
 from storewright.sources.writers import write_adjustments
 
 SF = "/root/testdata/sf0.001"
@@ -78,6 +80,18 @@ def test_timestamp_columns_with_a_zone_are_pushed_down_too(spark, tmp_path):
     assert "GreaterThanOrEqual(ts," in plan.split("PushedFilters")[1]
 
 
+def test_only_the_days_of_the_period_are_read(spark, stored, tmp_path):
+    path = str(tmp_path / "purchase")
+    purchase = stored("purchase").withColumn("day", F.trunc("purchased_at", "MM"))
+    purchase.write.partitionBy("day").parquet(path)
+    cfg = replace(standins.CONFIG, day_partition="day")
+    df = conversion.buying_members(spark.read.parquet(path), stored("goods"), cfg)
+    scan = next(x for x in final_plan(df).splitlines() if "FileScan" in x and "purchased_at" in x)
+    assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 1996-01-01", scan)
+    plain = conversion.buying_members(stored("purchase"), stored("goods"), standins.CONFIG)
+    assert sorted(df.collect()) == sorted(plain.collect())
+
+
 def test_no_window_gathers_a_group(spark):
     for name, query in entry.queries().items():
         plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
@@ -158,15 +172,27 @@ def test_a_hot_title_is_spread(spark, eager_skew_split, hot):
     df = stock_ops.adjustments(stock_ops.stock_mismatch(stock), StockConfig())
     (join,) = [x for x in final_plan(df).splitlines() if "SortMergeJoin" in x]
     assert "slice" in join and "LeftAnti" in join
-    slices = stock.groupBy("title", stock_ops.title_slice().alias("slice")).count()
-    assert slices.agg(F.max("count")).first()[0] < 20000 / stock_ops.TITLE_SLICES * 1.2
     assert df.count() == stock.filter("shelf_stock IS NOT NULL").count()
 
     listed = stock_ops.only_products(stock, stock.select("title"))
-    assert "SortMergeJoin(skew=true)" in final_plan(listed)
+    (join,) = [x for x in final_plan(listed).splitlines() if "SortMergeJoin" in x]
+    assert "slice" in join and "LeftSemi" in join
     assert listed.count() == 60000
 
 
+def test_slices_are_even_and_aqe_can_split_them(spark, eager_skew_split, hot):
+    rows = hot(60000, "id", "key")
+    keys = rows.select("key").distinct()
+    for how in ("left_semi", "inner"):
+        whole = spread_join(rows, keys, "key", how, ["id"], slices=1)
+        assert "SortMergeJoin(skew=true)" in final_plan(whole)
+        spread = spread_join(rows, keys, "key", how, ["id"])
+        assert whole.count() == spread.count() == 60000
+    sizes = rows.filter("key = 0").groupBy(F.pmod(F.xxhash64("id"), F.lit(SLICES))).count()
+    assert sizes.count() == SLICES and sizes.agg(F.max("count")).first()[0] < 20000 / SLICES * 1.2
+    assert spread_join(rows, keys.filter("key > 0"), "key", "left_anti", ["id"]).count() == 20000
+
+
 def test_a_text_copied_into_a_third_of_the_sessions_is_split(spark, eager_skew_split, conf, hot):
     conf(spark__sql__adaptive__skewJoin__skewedPartitionFactor="0.5")  # equal hashes compress well
     texts = hot(

@@ -118,7 +118,7 @@ def test_each_distinct_text_is_asked_once(spark, tmp_path):
     assert sorted(log.read_text().split()) == ["t0", "t1", "t2"]
 
 
-@pytest.mark.parametrize("answers", [lambda prompts: [], lambda prompts: 1 / 0, lambda prompts: None])
+@pytest.mark.parametrize("answers", [lambda p: [], lambda p: 1 / 0, lambda p: None, lambda p: [7] * len(p)])
 def test_a_classifier_that_breaks_its_contract_gives_fallback_labels(spark, answers):
     got = labelled(ops.classify(texts_of(spark, [("a", "x"), ("b", "y")]), lambda: answers, SPEC))
     assert got == {"a": FAILED, "b": FAILED}

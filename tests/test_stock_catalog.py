@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from storewright import fixed_values as fixed
 from storewright import schemas
@@ -111,6 +112,11 @@ def test_page_urls(spark):
     got = catalog.page_urls(listing, first_page=9).collect()
     assert [tuple(r) for r in got] == [("x?a=", n, f"x?a=&page={n}") for n in (9, 10, 11)]
     assert catalog.page_urls(listing).filter("base_url = 'y'").count() == 2
+    long = spark.createDataFrame([("b", "b&page=25001")], "base_url string, last_href string")
+    pages = catalog.page_urls(long, first_page=3).groupBy("base_url").agg(
+        F.count("*"), F.count_distinct("page_no"), F.min("page_no"), F.max("page_no")
+    )
+    assert tuple(pages.first()) == ("b", 24999, 24999, 3, 25001)
 
 
 def test_product_lists(spark):
