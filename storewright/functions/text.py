@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HEADER_LINE = r"^.*?\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+# A "name timestamp" line is told by its end.
+HEADER_LINE = r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
 def repair_mojibake(text: Column, on_error: str = "keep") -> Column:
