@@ -144,10 +144,9 @@ def _mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stock_ops.stock_mismatch(standins.stock(spark, sf_dir))
 
 
-def _real_stock_adjustments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _real_stock_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     titles = catalog.real_stock_products(standins.product(spark, sf_dir), STOCK)
-    stock = stock_ops.only_products(standins.stock(spark, sf_dir), titles)
-    return stock_ops.adjustments(stock_ops.stock_mismatch(stock), STOCK)
+    return stock_ops.stock_mismatch(stock_ops.only_products(standins.stock(spark, sf_dir), titles))
 
 
 def _quoted_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +197,8 @@ def queries() -> dict[str, Query]:
         "stock_mismatch": _mismatch,
         "rejected_products": lambda s, d: stock_ops.rejected_products(_mismatch(s, d)),
         "stock_adjustments": lambda s, d: stock_ops.adjustments(_mismatch(s, d), STOCK),
-        "real_stock_adjustments": _real_stock_adjustments,
+        "real_stock_mismatch": _real_stock_mismatch,
+        "real_stock_adjustments": lambda s, d: stock_ops.adjustments(_real_stock_mismatch(s, d), STOCK),
         # product lists
         "real_stock_products": lambda s, d: catalog.real_stock_products(standins.product(s, d), STOCK),
         "distinct_products": lambda s, d: catalog.distinct_products(
@@ -336,6 +336,7 @@ _ADJUSTMENTS = f"""
     FROM mismatch WHERE title NOT IN (SELECT title FROM rejected)"""
 
 _REAL = f"SELECT page_no, title FROM product WHERE stock_mode = '{STOCK.real_stock_mode}'"
+_LISTED = f"AND title IN (SELECT title FROM ({_REAL}))"
 _LINKS = f"""
     SELECT page_id, CAST(position - 1 AS INTEGER) AS position,
            regexp_extract(match, '{catalog.ANCHOR}', 1) AS href, regexp_extract(match, '{catalog.ANCHOR}', 2) AS name
@@ -447,9 +448,8 @@ def oracle_sql() -> dict[str, str]:
         "stock_mismatch": _stock_sql("SELECT * FROM mismatch"),
         "rejected_products": _stock_sql("SELECT title FROM rejected"),
         "stock_adjustments": _stock_sql(_ADJUSTMENTS),
-        "real_stock_adjustments": _stock_sql(
-            _ADJUSTMENTS, ("stock", "product"), f"AND title IN (SELECT title FROM ({_REAL}))"
-        ),
+        "real_stock_mismatch": _stock_sql("SELECT * FROM mismatch", ("stock", "product"), _LISTED),
+        "real_stock_adjustments": _stock_sql(_ADJUSTMENTS, ("stock", "product"), _LISTED),
         "real_stock_products": f"WITH {oracle_tables('product')} {_REAL}",
         "distinct_products": f"""
             WITH {oracle_tables('product')}

@@ -135,8 +135,8 @@ def text_labels(
         for batch in batches:
             # Here and not in the plan, where the filter would clean every text once more.
             batch = batch[batch["prompt"].notnull()]
-            batch["answer"] = answers(classifier, batch["prompt"].tolist())
-            yield batch[["text_hash", "answer"]]
+            given = answers(classifier, batch["prompt"].tolist())
+            yield batch[["text_hash"]].assign(answer=given)
 
     answered = prompts.mapInPandas(ask, "text_hash binary, answer string")
     return parse_answers(answered, spec)

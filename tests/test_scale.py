@@ -92,6 +92,24 @@ def test_only_the_days_of_the_period_are_read(spark, stored, tmp_path):
     assert sorted(df.collect()) == sorted(plain.collect())
 
 
+def test_tables_bucketed_by_member_are_not_shuffled_for_the_members(spark, stored, tmp_path):
+    """With a bucketed purchase table the largest input never moves."""
+    names = ("member", "purchase")
+    for name in names:
+        writer = stored(name).write.mode("overwrite").bucketBy(8, "member_id").format("parquet")
+        writer.option("path", str(tmp_path / name)).saveAsTable(f"bucketed_{name}")
+    try:
+        member, purchase = (spark.table(f"bucketed_{name}") for name in names)
+        df = conversion.qualifying_members(member, purchase, stored("goods"), standins.CONFIG)
+        plan = final_plan(df)
+        assert "Exchange hashpartitioning" not in plan
+        plain = conversion.qualifying_members(*map(stored, ("member", "purchase", "goods")), standins.CONFIG)
+        assert sorted(df.collect(), key=str) == sorted(plain.collect(), key=str)
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+
+
 def test_no_window_gathers_a_group(spark):
     for name, query in entry.queries().items():
         plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
