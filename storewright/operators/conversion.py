@@ -58,8 +58,9 @@ def buying_members(purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig)
 def activated_members(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
     """Activated members with a service store, and whether they registered in or before the period.
 
-    The distinct keeps repeated member rows from piling up on one id; both
-    branches of `store_counts` read its one shuffle.
+    ``member_id`` identifies a member. Where a source repeats rows of one id, the
+    distinct combines them before they meet in the shuffle by id. Both branches
+    of `store_counts` read its one shuffle.
     """
     registered = F.col("registered_at")
     return (

@@ -23,7 +23,7 @@ def spread_join(
     in_slice = F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int")
     every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     return (
-        rows.withColumn("slice", in_slice)
-        .join(keys.withColumn("slice", every_slice), [key, "slice"], how)
-        .drop("slice")
+        rows.withColumn("_slice", in_slice)
+        .join(keys.withColumn("_slice", every_slice), [key, "_slice"], how)
+        .drop("_slice")
     )

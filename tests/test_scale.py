@@ -149,7 +149,8 @@ def test_members_with_one_id_are_combined_before_the_join(spark, no_broadcast):
     )
     goods = spark.createDataFrame([(100, "x")], "sku int, goods_class string")
     contact = spark.createDataFrame([(i, datetime(1996, 1, 1)) for i in range(50)], "union_id int, added_at timestamp_ntz")
-    shop = spark.createDataFrame([(i, f"s{i}", "x", "R", "S") for i in range(4)], schemas.SHOP.replace("store_code string", "store_code int"))
+    by_number = schemas.SHOP.replace("store_code string", "store_code int")
+    shop = spark.createDataFrame([(i, f"s{i}", "x", "R", "S") for i in range(4)], by_number)
     detail = conversion.conversion_detail(shop, rows, bought, goods, contact, cfg)
     assert detail.agg(F.sum("buyers")).first()[0] == 2000 + 4
     members = conversion.activated_members(rows, cfg).filter("member_id = 0")
