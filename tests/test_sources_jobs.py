@@ -87,6 +87,15 @@ def test_stock_exports(spark, tmp_path):
     ]
 
 
+def test_titles_survive_as_folder_names(spark, tmp_path):
+    titles = ["a/b", "k=v", "礼品 1", "100%", "001", 'say "x"', "c:d"]
+    rows = [(*(["v"] * 3), 1.5, *(["w"] * 6), t) for t in titles]
+    schema = ", ".join(f"{c} {'double' if c == 'adjust_qty' else 'string'}" for c in [*fixed.ADJUSTMENT_HEADERS, "title"])
+    writers.write_adjustments(spark.createDataFrame(rows, schema), str(tmp_path / "out"))
+    back = spark.read.schema("x string, title string").csv(str(tmp_path / "out"), header=True)
+    assert sorted(r.title for r in back.collect()) == sorted(titles)
+
+
 def test_rename_and_checks(spark):
     df = spark.createDataFrame([("r", "s", "t", " c ", "n", 1)], ["大区名称", "小区名称", "门店类型", "门店代码", "门店名称", "x"])
     shop = schemas.trim_keys(schemas.rename_columns(df, fixed.SHOP_COLUMNS), "store_code")
