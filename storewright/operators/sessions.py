@@ -7,7 +7,10 @@ classifier); the join that brings labels back to sessions moves ids and hashes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -83,6 +86,14 @@ def parse_answers(answers: DataFrame, spec: LabelSpec) -> DataFrame:
     )
 
 
+def _occurs(text: Column, pattern: str) -> Column:
+    """Does the pattern occur? Plain words, also several with ``|``, are searched without a regex."""
+    words = pattern.split("|")
+    if any(not word or re.search(r"[\\^$.?*+()\[\]{}]", word) for word in words):
+        return text.rlike(pattern)
+    return reduce(or_, [text.contains(word) for word in words])
+
+
 def keyword_labels(texts: DataFrame, rules: dict[str, str], spec: LabelSpec) -> DataFrame:
     """Offline labels without a classifier: the first topic whose pattern occurs in the text.
 
@@ -91,7 +102,7 @@ def keyword_labels(texts: DataFrame, rules: dict[str, str], spec: LabelSpec) ->
     """
     topic = F.lit(None).cast("string")
     for name, pattern in reversed(list(rules.items())):
-        topic = F.when(F.col("text").rlike(pattern), name).otherwise(topic)
+        topic = F.when(_occurs(F.col("text"), pattern), name).otherwise(topic)
     status = F.when(F.col("text").isNotNull(), "ok").otherwise("failed")
     return texts.select("session_id", topic.alias("topic"), status.alias("label_status")).select(
         "session_id",

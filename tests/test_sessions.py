@@ -69,6 +69,14 @@ def test_keyword_labels_take_the_first_rule(spark):
     }
 
 
+@pytest.mark.parametrize("pattern", ["a", "a|b c", "[ab]$", "a|", "x.z", "", "会员|a b", r"\\d"])
+def test_plain_words_and_patterns_occur_alike(spark, pattern):
+    texts = ["a", "b c", "xyz", "x.z", "cab", "", "会员权益", "a\nb", "5", "A"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", ops._occurs(F.col("t"), pattern).alias("found"), F.col("t").rlike(pattern).alias("want"))
+    assert [r.found for r in rows.collect()] == [r.want for r in rows.collect()]
+
+
 def echo_factory(head, tail, slow=None, fails=None, log=None):
     """Answers with the text itself as category; can be slow, fail or log its calls."""
 
