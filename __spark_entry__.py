@@ -21,6 +21,8 @@ from storewright.config import LabelSpec, StockConfig
 from storewright.functions import periods, rates, text
 from storewright.operators import catalog, conversion, reports, rollups, sessions
 from storewright.operators import stock as stock_ops
+from storewright.session import shared_folder
+from storewright.sources import readers, writers
 from storewright.standins import BOT, CONFIG, TOPIC_RULES, oracle_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +156,44 @@ def _quoted_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.table(spark, sf_dir, "part").select("p_partkey", text.quote_url(title).alias("title_sku"))
 
 
+# --- sources and sinks: written as a job would, read back as the next one would ---
+
+
+def _report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    report = reports.sort_region_report(reports.region_report(_detail(spark, sf_dir), CONFIG))
+    writers.write_table(report, path, "csv")
+    schema = ", ".join(f"{name} {kind}" for name, kind in report.dtypes)
+    return _rounded(readers.read_table(spark, path, schema, "csv"))
+
+
+def _stock_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock as exports with the source's headers, one folder per product."""
+    path = shared_folder(spark)
+    headers = {ours: theirs for theirs, ours in fixed.STOCK_COLUMNS.items()}
+    stock = standins.stock(spark, sf_dir).select(*headers, "title").withColumnsRenamed(headers)
+    stock.hint("rebalance", F.col("title")).write.partitionBy("title").csv(path, header=True)
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in stock.dtypes if name != "title")
+    return readers.read_stock_exports(spark, path, schema, fixed.STOCK_COLUMNS)
+
+
+def _adjustment_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sheets as written for the upload, read back with our column names."""
+    path = shared_folder(spark)
+    sheets = stock_ops.adjustments(_mismatch(spark, sf_dir), STOCK)
+    writers.write_adjustments(sheets, path)
+    kinds = dict(sheets.dtypes)
+    schema = ", ".join(f"`{theirs}` {kinds[ours]}" for ours, theirs in fixed.ADJUSTMENT_HEADERS.items())
+    names = {theirs: ours for ours, theirs in fixed.ADJUSTMENT_HEADERS.items()}
+    return readers.read_stock_exports(spark, path, schema, names)
+
+
+def _product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    writers.write_product_pages(catalog.real_stock_products(standins.product(spark, sf_dir), STOCK), path)
+    return readers.read_table(spark, path, "title string, page_no int")
+
+
 def queries() -> dict[str, Query]:
     """Name -> query; each one takes (spark, sf_dir)."""
     return {
@@ -211,6 +251,11 @@ def queries() -> dict[str, Query]:
             "page_id", text.page_number(F.col("url")).alias("page_no")
         ),
         "quoted_titles": _quoted_titles,
+        # sources and sinks
+        "report_table": _report_table,
+        "stock_exports": _stock_exports,
+        "adjustment_sheets": _adjustment_sheets,
+        "product_pages": _product_pages,
     }
 
 
@@ -466,4 +511,13 @@ def oracle_sql() -> dict[str, str]:
         "quoted_titles": """
             SELECT p_partkey, replace(url_encode(p_name || ' / ' || p_brand || '~ *+&=礼品'), '%2F', '/') AS title_sku
             FROM part""",
+        "report_table": _conversion_sql(_REGION),
+        "stock_exports": f"WITH {oracle_tables('stock')} SELECT * FROM stock",
+        # A blank cell of a CSV sheet reads as NULL.
+        "adjustment_sheets": _stock_sql(
+            "SELECT * REPLACE ("
+            + ", ".join(f"nullif({c}, '') AS {c}" for c in STOCK.blank_columns)
+            + f") FROM ({_ADJUSTMENTS})"
+        ),
+        "product_pages": f"WITH {oracle_tables('product')} {_REAL}",
     }

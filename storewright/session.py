@@ -1,10 +1,28 @@
-"""A session for tests, the benchmark and small runs. On a cluster the caller brings one."""
+"""A session for tests, the benchmark and small runs, and a place for files that all executors see."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder name below ``spark.checkpoint.dir``.
+
+    Only a local session may do without that setting and gets a temporary
+    folder: no other executor would see one.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="storewright-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+# On a cluster the caller brings the session.
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app_name: str = "storewright") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -12,6 +12,7 @@ from storewright.config import LabelSpec
 from storewright.operators import reports
 from storewright.operators.conversion import conversion_detail
 from storewright.plans import gift_stock, member_conversion, session_labels
+from storewright.session import shared_folder
 from storewright.sources import readers, writers
 
 SF = "/root/testdata/sf0.001"
@@ -96,6 +97,24 @@ def test_titles_survive_as_folder_names(spark, tmp_path):
     assert sorted(r.title for r in back.collect()) == sorted(titles)
 
 
+def test_shared_folder_follows_the_session(spark, tmp_path):
+    class Cluster:
+        class sparkContext:
+            master = "yarn"
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+    Cluster.conf.get = staticmethod(lambda name, default: {"spark.checkpoint.dir": "hdfs://x/y/"}[name])
+    assert shared_folder(Cluster).startswith("hdfs://x/y/")
+    assert shared_folder(Cluster) != shared_folder(Cluster)
+    assert shared_folder(spark).startswith("/")
+
+
 def test_rename_and_checks(spark):
     df = spark.createDataFrame([("r", "s", "t", " c ", "n", 1)], ["大区名称", "小区名称", "门店类型", "门店代码", "门店名称", "x"])
     shop = schemas.trim_keys(schemas.rename_columns(df, fixed.SHOP_COLUMNS), "store_code")
