@@ -135,10 +135,10 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A list of products over pages of 40; titles repeat from page to page."""
+    """A list of products over 50 pages; titles repeat from page to page."""
     key = F.col("p_partkey")
     return table(spark, sf_dir, "part").select(
-        (F.floor(key / 40) + 1).cast("int").alias("page_no"),
+        (F.floor(key % 2000 / 40) + 1).cast("int").alias("page_no"),
         F.concat(F.lit("T"), (key % 50).cast("string")).alias("title"),
         F.concat(F.lit("/edit?id="), key.cast("string")).alias("href"),
         F.when((F.col("p_size") % 2 == 0) & (key % 50 < 30), fixed.REAL_STOCK_MODE)
@@ -233,7 +233,7 @@ ORACLE = {
                sum(l_quantity) AS store_stock
         FROM lineitem GROUP BY l_suppkey, l_partkey""",
     "product": """
-        SELECT CAST(p_partkey // 40 + 1 AS INTEGER) AS page_no,
+        SELECT CAST(p_partkey % 2000 // 40 + 1 AS INTEGER) AS page_no,
                'T' || CAST(p_partkey % 50 AS VARCHAR) AS title,
                '/edit?id=' || CAST(p_partkey AS VARCHAR) AS href,
                CASE WHEN p_size % 2 = 0 AND p_partkey % 50 < 30 THEN '真实库存' ELSE '虚拟库存' END AS stock_mode
