@@ -6,7 +6,8 @@ Shape of the plan, from the big end:
   the map side, so a member with a third of all purchases costs one row per
   task in the shuffle.
 * Members are joined to that list by a semi join: only distinct ids are counted
-  afterwards, so the inner join's fan-out is never produced.
+  afterwards, so the inner join's fan-out is never produced. The join spreads an
+  id that many member rows share.
 * A distinct count with a condition is a maximum of a flag per (store, id)
   followed by plain counts per store. That is exact also when an id has several
   rows, and replaces six distinct aggregates, which would multiply the rows by
@@ -26,8 +27,13 @@ from pyspark.sql import functions as F
 
 from storewright.config import ConversionConfig
 from storewright.functions.text import trim_blanks
+from storewright.operators.spread import spread_join
 from storewright.schemas import DETAIL_COUNTS, DETAIL_KEYS, fail_unless_one
 
+# Keys made of one member id. Few, because the list of buyers grows by this
+# factor; AQE splits further where one slice is still too large.
+MEMBER_SLICES = 4
+
 
 def store_type_label(store_type: Column, cfg: ConversionConfig) -> Column:
     """Agent stores are 'agent'; anything else, NULL included, is 'own'."""
@@ -58,9 +64,8 @@ def buying_members(purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig)
 def activated_members(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
     """Activated members with a service store, and whether they registered in or before the period.
 
-    ``member_id`` identifies a member. Where a source repeats rows of one id, the
-    distinct combines them before they meet in the shuffle by id. Both branches
-    of `store_counts` read its one shuffle.
+    The distinct combines repeated rows. Both branches of `store_counts` read its
+    one shuffle.
     """
     registered = F.col("registered_at")
     return (
@@ -80,9 +85,10 @@ def activated_members(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
 def qualifying_members(
     member: DataFrame, purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig
 ) -> DataFrame:
-    return activated_members(member, cfg).join(
-        buying_members(purchase, goods, cfg), "member_id", "left_semi"
-    )
+    """Activated members who bought. An id shared by many member rows is spread over several tasks."""
+    buyers = buying_members(purchase, goods, cfg)
+    spread_by = ["store_code", "union_id"]
+    return spread_join(activated_members(member, cfg), buyers, "member_id", "left_semi", spread_by, MEMBER_SLICES)
 
 
 def contact_ids(contact: DataFrame, cfg: ConversionConfig) -> DataFrame:

@@ -92,22 +92,17 @@ def test_only_the_days_of_the_period_are_read(spark, stored, tmp_path):
     assert sorted(df.collect()) == sorted(plain.collect())
 
 
-def test_tables_bucketed_by_member_are_not_shuffled_for_the_members(spark, stored, tmp_path):
-    """With a bucketed purchase table the largest input never moves."""
-    names = ("member", "purchase")
-    for name in names:
-        writer = stored(name).write.mode("overwrite").bucketBy(8, "member_id").format("parquet")
-        writer.option("path", str(tmp_path / name)).saveAsTable(f"bucketed_{name}")
+def test_purchases_bucketed_by_member_are_not_shuffled(spark, stored, tmp_path):
+    """With a bucketed table the largest input never moves: its buyers are found in place."""
+    writer = stored("purchase").write.mode("overwrite").bucketBy(8, "member_id").format("parquet")
+    writer.option("path", str(tmp_path / "purchase")).saveAsTable("bucketed_purchase")
     try:
-        member, purchase = (spark.table(f"bucketed_{name}") for name in names)
-        df = conversion.qualifying_members(member, purchase, stored("goods"), standins.CONFIG)
-        plan = final_plan(df)
-        assert "Exchange hashpartitioning" not in plan
-        plain = conversion.qualifying_members(*map(stored, ("member", "purchase", "goods")), standins.CONFIG)
-        assert sorted(df.collect(), key=str) == sorted(plain.collect(), key=str)
+        df = conversion.buying_members(spark.table("bucketed_purchase"), stored("goods"), standins.CONFIG)
+        assert "Exchange hashpartitioning" not in final_plan(df)
+        plain = conversion.buying_members(*map(stored, ("purchase", "goods")), standins.CONFIG)
+        assert sorted(df.collect()) == sorted(plain.collect())
     finally:
-        for name in names:
-            spark.sql(f"DROP TABLE IF EXISTS bucketed_{name}")
+        spark.sql("DROP TABLE IF EXISTS bucketed_purchase")
 
 
 def test_no_window_gathers_a_group(spark):
@@ -182,6 +177,30 @@ def test_a_hot_sku_is_split(spark, eager_skew_split, hot, tmp_path):
     assert df.count() == purchase.filter("sku % 6 = 0").count()
 
 
+def test_a_member_id_shared_by_many_rows_is_split(spark, eager_skew_split, hot, tmp_path):
+    member = hot(
+        60000, F.col("key").alias("member_id"), (F.col("id") % 5).alias("service_store"),
+        F.expr("timestamp_ntz '1996-05-05'").alias("registered_at"), F.col("id").alias("union_id"),
+        F.lit("Y").alias("activated"),
+    )
+    path = str(tmp_path / "purchase")
+    spark.range(0, 60000, 6).select(
+        F.col("id").alias("member_id"), F.lit(100).alias("sku"), F.lit("F").alias("channel"),
+        F.expr("timestamp_ntz '1996-06-01'").alias("purchased_at"), F.lit(1.0).alias("amount"),
+    ).write.parquet(path)
+    goods = spark.createDataFrame([(100, "x")], "sku int, goods_class string")
+    contact = member.select("union_id", F.expr("timestamp_ntz '1996-01-01'").alias("added_at"))
+    members = conversion.qualifying_members(member, spark.read.parquet(path), goods, standins.CONFIG)
+    joins = [x for x in final_plan(members).splitlines() if "SortMergeJoin" in x and "member_id" in x]
+    assert joins and all("_slice" in x for x in joins)
+    counts = conversion.store_counts(members, contact, standins.CONFIG)
+    assert "skew=true" in final_plan(counts)
+    # Member 0 once in each of five stores; the other buyers have one row each; all channel ids are contacts.
+    others = member.filter("member_id > 0 AND member_id % 6 = 0").count()
+    sums = counts.agg(F.sum("buyers"), F.sum("added")).first()
+    assert tuple(sums) == (others + 5, others + 20000)
+
+
 def test_a_hot_title_is_spread(spark, eager_skew_split, hot):
     stock = hot(
         60000, F.concat(F.lit("T"), F.col("key").cast("string")).alias("title"),
