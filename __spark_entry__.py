@@ -25,6 +25,12 @@ from storewright.session import shared_folder
 from storewright.sources import readers, writers
 from storewright.standins import BOT, CONFIG, TOPIC_RULES, oracle_tables
 
+try:  # the folder of the training-data operators may be left out
+    import corpus_pipeline
+    from storewright.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SPEC = LabelSpec()
@@ -196,6 +202,10 @@ def _product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Name -> query; each one takes (spark, sf_dir)."""
+    return _retail_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def _retail_queries() -> dict[str, Query]:
     return {
         # member conversion
         "safe_rates": lambda s, d: _rounded(_safe_rates(s, d)),
@@ -391,7 +401,11 @@ _DAYS = "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)"
 
 
 def oracle_sql() -> dict[str, str]:
-    """Name -> DuckDB SQL with the same rows and column names as the query."""
+    """Name -> DuckDB SQL with the same rows and column names as the query, where SQL can express it."""
+    return _retail_sql() | (llm.ORACLE_SQL if llm else {})
+
+
+def _retail_sql() -> dict[str, str]:
     head, tail = SPEC.prompt_parts()
     finished = "l_linestatus = 'F'"
     return {
