@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from storewright.session import shared_folder
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 5_000_000
 CHUNK = "chunk long, n_bytes long, ids binary, known binary, sizes binary, data binary, rest binary"
 NO_TEXT = "text is null"
 NO_ID = np.int64(2**63 - 1)
