@@ -12,10 +12,11 @@ is least, and a pair is verified only when it shares min(l, l') prefix tokens.
 
 How it runs. Chunks send their distinct tokens, packed, to buckets and get the
 document counts back; equal sets collapse to their smallest document. Tokens
-that one document holds make no posting. Before pairs are made, two rounds of
-stars link each document to the document that leads most of its lists; pairs
-are then made only between documents that are still in different components,
-so a group of thousands of copies costs its size and not its square. No pair is
+that one document holds make no posting. Before pairs are made, rounds of stars
+compare each document with one that leads most of its lists and belongs to the
+largest component there; pairs are then made only between documents that are
+still in different components, so a group of thousands of copies costs its size
+and not its square. No pair is
 capped or dropped. Sets of documents that have postings are stored once;
 intersections are built-in array functions.
 
@@ -51,7 +52,7 @@ class JoinSpec:
     words: int = 5
     percent: int = 75
     bucket_bytes: int = 4_000_000
-    star_rounds: int = 2
+    star_rounds: int = 6
 
 
 # --- shingles ----------------------------------------------------------------
@@ -265,19 +266,32 @@ def _sizes_fit(percent: int):
     return 100 * small >= percent * large
 
 
-def _stars(spark: SparkSession, postings: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each document with the leader of most of its lists; another leader every turn."""
-    place = F.struct(F.xxhash64("node", F.lit(turn)), "node", "n", "root")
+def _stars(postings: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each document with the leader of most of its lists, a member of the largest component there; other leaders every turn."""
+    place = F.struct((-F.col("size")).alias("size"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root")
     led = postings.groupBy("token").agg(F.min(place).alias("leader"))
     pairs = postings.join(led, "token").select(
-        F.col("node").alias("u"), "leader.node", F.col("n").alias("n_u"), F.col("leader.n").alias("n_v"), "root",
-        F.col("leader.root").alias("other"),
-    ).withColumnRenamed("node", "v")
+        F.col("node").alias("u"), F.col("leader.node").alias("v"), F.col("n").alias("n_u"),
+        F.col("leader.n").alias("n_v"), "root", F.col("leader.root").alias("other"),
+    )
     pairs = pairs.filter((F.col("root") != F.col("other")) & _sizes_fit(percent))
     counted = pairs.groupBy("u", "v").count()
     return counted.groupBy("u").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
 
 
+def _merged_roots(spark: SparkSession, roots: DataFrame, found: DataFrame) -> DataFrame:
+    """Roots after new links; only the roots that the links join are worked on."""
+    of = roots.select("node", "root")
+    edges = found.join(of.withColumnsRenamed({"node": "u", "root": "a"}), "u")
+    edges = edges.join(of.withColumnsRenamed({"node": "v", "root": "b"}), "v").select(
+        F.col("a").alias("u"), F.col("b").alias("v")
+    )
+    moved = components(spark, edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    joined = of.join(moved, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    sizes = joined.groupBy("root").agg(F.count("*").alias("size"))
+    return written(spark, joined.join(sizes, "root"))
+
+
 def _pairs(postings: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that share enough prefix tokens."""
     mixed = postings.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
@@ -333,16 +347,15 @@ def _near_duplicates(spark: SparkSession, chunks: DataFrame, spec: JoinSpec) ->
     sets = written(spark, packed.mapInArrow(_as_arrays, ARRAYS))
     lists = sets.select("node", "n", "least", F.explode("tokens").alias("token"))
 
-    links, roots = None, None
-    for turn in range(spec.star_rounds + 1):
-        postings = lists.withColumn("root", F.col("node"))
-        if roots is not None:
-            postings = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        last = turn == spec.star_rounds
-        pairs = _pairs(postings, spec.percent) if last else _stars(spark, postings, turn, spec.percent)
-        found = written(spark, verified(pairs, sets, spec.percent))
-        links = found if links is None else links.unionByName(found)
-        roots = components(spark, links)
+    roots = written(spark, sets.select("node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")))
+    for turn in range(spec.star_rounds):
+        stars = _stars(lists.join(roots, "node"), turn, spec.percent)
+        found = written(spark, verified(stars, sets, spec.percent))
+        if found.isEmpty():
+            break
+        roots = _merged_roots(spark, roots, found)
+    found = written(spark, verified(_pairs(lists.join(roots, "node"), spec.percent), sets, spec.percent))
+    roots = _merged_roots(spark, roots, found).select("node", "root")
     # A component is called by the smallest id of its classes.
     named = classes.select("high", "low", F.col("first.node").alias("node"), F.col("first.doc_id").alias("least_id"))
     named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
