@@ -9,16 +9,23 @@ executor costs one round.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storewright.session import shared_folder
 
 
-def written(spark: SparkSession, df: DataFrame) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, by: str | None = None) -> DataFrame:
+    """The rows, written to the shared folder; bucketed by a column that they will be joined on."""
     path = shared_folder(spark)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    if by is None:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"written_{uuid.uuid4().hex}"
+    df.repartition(buckets, by).write.bucketBy(buckets, by).option("path", path).saveAsTable(name)
+    return spark.table(name)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ compare each document with one that leads most of its lists and belongs to the
 largest component there; pairs are then made only between documents that are
 still in different components, so a group of thousands of copies costs its size
 and not its square. No pair is
-capped or dropped. Sets of documents that have postings are stored once;
+capped or dropped; a pair that meets too late in the order to link is not made. Sets of documents that have postings are stored once;
 intersections are built-in array functions.
 
 Tokens are 64-bit hashes. Defined results: a null or blank text has the empty
@@ -33,7 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storewright.llm.chunks import Chunk, bucket_count, pack, per_bucket, per_chunk, unpack, with_chunk, write_chunks
@@ -52,7 +52,7 @@ class JoinSpec:
     words: int = 5
     percent: int = 75
     bucket_bytes: int = 4_000_000
-    star_rounds: int = 6
+    star_rounds: int = 4
 
 
 # --- shingles ----------------------------------------------------------------
@@ -200,7 +200,7 @@ def choose_matches(counts: np.ndarray, n: int, percent: int) -> int:
     return chosen
 
 
-PREFIXES = "node long, doc_id long, n long, least int, tokens binary, shingles binary"
+PREFIXES = "node long, doc_id long, n long, least int, tokens binary, places binary, shingles binary"
 
 
 def prefixes(chunk: Chunk, answers: list[dict], spec: JoinSpec) -> Iterator[dict]:
@@ -219,13 +219,13 @@ def prefixes(chunk: Chunk, answers: list[dict], spec: JoinSpec) -> Iterator[dict
         order = np.lexsort((own, held))
         least = choose_matches(held[order], n, spec.percent)
         size = n - least_overlap(n, spec.percent) + least
-        met = order[:size]
-        met = met[held[met] > 1]
+        places = np.flatnonzero(held[order[:size]] > 1)
+        met = order[places]
         if not len(met):
             continue
         for name, value in zip(
             out, (chunk.chunk << ROW_BITS | row, chunk.ids[row] if chunk.known[row] else None, n, least,
-                  own[met].tobytes(), own.tobytes()), strict=True,
+                  own[met].tobytes(), places.astype(np.int64).tobytes(), own.tobytes()), strict=True,
         ):
             out[name].append(value)
     yield out
@@ -237,7 +237,7 @@ def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = []
         for name in batch.schema.names:
             column = batch.column(name)
-            if name in ("tokens", "shingles"):
+            if name in ("tokens", "places", "shingles"):
                 sizes = np.array([len(x.as_py()) // 8 for x in column], np.int64)
                 flat = np.frombuffer(b"".join(x.as_py() for x in column), np.int64)
                 column = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat)
@@ -245,7 +245,7 @@ def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
 
-ARRAYS = "node long, doc_id long, n long, least int, tokens array<long>, shingles array<long>"
+ARRAYS = "node long, doc_id long, n long, least int, tokens array<long>, places array<long>, shingles array<long>"
 
 
 # --- links -------------------------------------------------------------------
@@ -261,20 +261,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * shared >= percent * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v")
 
 
-def _sizes_fit(percent: int):
+def _may_link(percent: int) -> Column:
+    """Whether two documents that meet in a token can still link.
+
+    Besides sizes that fit: tokens are ordered, so from the j-th shared one on at
+    most the rest of the shorter tail is shared, and that must make up the
+    overlap that these two sizes need, less the j - 1 before it.
+    """
     small, large = F.least("n_u", "n_v"), F.greatest("n_u", "n_v")
-    return 100 * small >= percent * large
+    tail = F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v"))
+    enough = (100 + percent) * (tail + F.least("least_u", "least_v") - 1) >= percent * (F.col("n_u") + F.col("n_v"))
+    return (100 * small >= percent * large) & enough
 
 
 def _stars(postings: DataFrame, turn: int, percent: int) -> DataFrame:
     """Each document with the leader of most of its lists, a member of the largest component there; other leaders every turn."""
-    place = F.struct((-F.col("size")).alias("size"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root")
+    place = F.struct((-F.col("size")).alias("size"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root", "least", "place")
     led = postings.groupBy("token").agg(F.min(place).alias("leader"))
     pairs = postings.join(led, "token").select(
         F.col("node").alias("u"), F.col("leader.node").alias("v"), F.col("n").alias("n_u"),
         F.col("leader.n").alias("n_v"), "root", F.col("leader.root").alias("other"),
+        F.col("least").alias("least_u"), F.col("leader.least").alias("least_v"),
+        F.col("place").alias("place_u"), F.col("leader.place").alias("place_v"),
     )
-    pairs = pairs.filter((F.col("root") != F.col("other")) & _sizes_fit(percent))
+    pairs = pairs.filter((F.col("root") != F.col("other")) & _may_link(percent))
     counted = pairs.groupBy("u", "v").count()
     return counted.groupBy("u").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
 
@@ -297,10 +307,10 @@ def _pairs(postings: DataFrame, percent: int) -> DataFrame:
     mixed = postings.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
     rows = postings.join(mixed.select("token"), "token", "left_semi")
     left, right = (
-        rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "least", "root")]) for side in "uv"
+        rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "least", "place", "root")]) for side in "uv"
     )
     met = left.join(right, "token").filter(
-        (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _sizes_fit(percent)
+        (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link(percent)
     )
     counted = met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(
         F.count("*").alias("shared"), F.first(F.least("least_u", "least_v")).alias("needed")
@@ -344,8 +354,10 @@ def _near_duplicates(spark: SparkSession, chunks: DataFrame, spec: JoinSpec) ->
     )
     counts = per_bucket(asked.filter(F.col("kind") == KEYS), ["bucket"], count_documents, ASKED)
     packed = with_chunk(chunks, counts.unionByName(chosen), lambda c, a: prefixes(c, a, spec), PREFIXES)
-    sets = written(spark, packed.mapInArrow(_as_arrays, ARRAYS))
-    lists = sets.select("node", "n", "least", F.explode("tokens").alias("token"))
+    sets = written(spark, packed.mapInArrow(_as_arrays, ARRAYS), "node")
+    lists = sets.select("node", "n", "least", F.explode(F.arrays_zip("tokens", "places")).alias("one")).select(
+        "node", "n", "least", F.col("one.tokens").alias("token"), F.col("one.places").alias("place")
+    )
 
     roots = written(spark, sets.select("node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")))
     for turn in range(spec.star_rounds):
