@@ -1,0 +1,355 @@
+"""The operators against plain versions on small made tables: nulls, empty texts, ties, repeated rows, clashing columns."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from storewright.llm import (
+    chat, context_tree, decontaminate, jaccard_join, langid, packing, rindex, suffix_dedup, topk, toxicity, trie_counts,
+)
+from storewright.llm.queries import CHAIN, HOSTILE, PACKING
+
+EXTRA = "doc_id long, text string, node long, chunk string, kept string"
+
+
+def documents(spark, rows, partitions=4):
+    """Rows with columns whose names clash with those that operators add."""
+    return spark.createDataFrame([(i, t, 1, "x", "y") for i, t in rows], EXTRA).repartition(partitions)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(5)
+    pieces = ["th", "er", "on", "Re", "é", "ing ", "x ", "\n", "日", "  "]
+    base = ["".join(rng.choice(pieces) for _ in range(rng.randint(10, 300))) for _ in range(20)]
+    out = []
+    for i in range(120):
+        t, u = rng.choice(base), rng.choice(base)
+        a, b = rng.randint(0, len(t)), rng.randint(0, len(u))
+        text = rng.choice([t, t[a:] + u[:b], t[:a] + "q" + t[a:], None, "", " \n"])
+        out.append((i if rng.random() < 0.9 else rng.choice([None, max(0, i - 1)]), text))
+    return out + [(500, "a" * 3000), (500, "a" * 3000)]
+
+
+def test_suffix_index_finds_first_documents():
+    rng = random.Random(1)
+    for _ in range(60):
+        length = rng.choice([7, 8, 13, 20, 50])
+        base = bytes(rng.choice(b"ab\x00\xff") for _ in range(200))
+        strings = [base[(a := rng.randint(0, 100)) : a + rng.randint(0, 90)] for _ in range(rng.randint(1, 12))]
+        docs = np.array([rng.randint(0, 6) for _ in strings], np.int64)
+        first = {}
+        for s, d in zip(strings, docs, strict=True):
+            for i in range(len(s) - length + 1):
+                first[s[i : i + length]] = min(first.get(s[i : i + length], 99), d)
+        want = [first[s[i : i + length]] for s in strings for i in range(len(s) - length + 1)]
+        assert rindex.first_documents(strings, docs, length).tolist() == want
+
+
+@pytest.mark.parametrize("spec", [suffix_dedup.DedupSpec(), suffix_dedup.DedupSpec(hot=5, bucket_bytes=500)])
+def test_suffix_dedup(spark, rows, spec):
+    first = {}
+    keyed = [(i, 2**63 - 1 if i is None else i, (t or "").encode()) for i, t in rows]
+    for _, key, b in keyed:
+        for p in range(len(b) - 49):
+            first[b[p : p + 50]] = min(first.get(b[p : p + 50], key), key)
+    want = []
+    for i, key, b in keyed:
+        gone = bytearray(len(b))
+        for p in range(len(b) - 49):
+            if first[b[p : p + 50]] < key:
+                gone[p : p + 50] = b"\1" * 50
+        rest = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        spans = sum(1 for j in range(len(b)) if gone[j] and (j == 0 or not gone[j - 1]))
+        want.append((i, len(b), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
+    found = suffix_dedup.dedup(spark, documents(spark, rows), spec).drop("kept", "spans").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(want, key=repr)
+
+
+def plain_components(rows):
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            shared = len(sets[a] & sets[b])
+            if shared and 100 * shared >= 75 * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    members = {}
+    for k, (i, _) in enumerate(rows):
+        members.setdefault(find(k), []).append(i)
+    least = {r: min((x for x in m if x is not None), default=None) for r, m in members.items()}
+    return sorted([(i, len(sets[k]), least[find(k)]) for k, (i, _) in enumerate(rows)], key=repr)
+
+
+@pytest.fixture(scope="module")
+def near_rows():
+    rng = random.Random(7)
+    words = ["a", "the", "of", "On", *(f"x{i}" for i in range(30))]
+    base = [[rng.choice(words) for _ in range(rng.randint(1, 80))] for _ in range(20)]
+    out = []
+    for i in range(250):
+        b = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            b[rng.randrange(len(b))] = f"z{rng.randint(0, 50)}"
+        out.append((i if rng.random() < 0.95 else None, rng.choice([" ".join(b)] * 20 + [None, " \n"])))
+    return out
+
+
+@pytest.mark.parametrize("turns", [0, 3])
+def test_jaccard_join(spark, near_rows, turns):
+    found = jaccard_join.near_duplicates(spark, documents(spark, near_rows), jaccard_join.JoinSpec(star_rounds=turns))
+    got = sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr)
+    assert got == plain_components(near_rows)
+
+
+def test_first_of_each_group_stays_with_its_columns(spark, near_rows):
+    docs = documents(spark, near_rows)
+    kept = jaccard_join.keep_first(spark, docs)
+    assert kept.columns == docs.columns
+    got = Counter(r.doc_id for r in kept.collect())
+    want = Counter()
+    groups = {}
+    for i, n, c in plain_components(near_rows):
+        if n == 0 or c is None:
+            want[i] += 1
+        else:
+            groups.setdefault(c, c)
+    want.update(groups.values())
+    assert {k: v for k, v in got.items() if k is not None} == {k: v for k, v in want.items() if k is not None}
+
+
+def test_packing_round_trip(spark, rows):
+    tokenizer = Tokenizer.from_file(PACKING["tokenizer"])
+    tokenizer.encode_special_tokens = True
+    want = Counter()
+    for i, t in rows:
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]
+        cut = [0, *range(len(ids) % 64 or min(64, len(ids)), len(ids) + 1, 64)]
+        for n, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+            want[i, n, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    found = packing.pack(spark, documents(spark, rows), PACKING["tokenizer"], 2, 64, group_pieces=40).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found) == want
+    bins = {}
+    for r in found:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in bins.values():
+        end = 0
+        for offset, length in sorted(parts):
+            assert offset == end
+            end += length
+        assert end <= 64
+
+
+def test_best_fit_takes_the_tightest_bin():
+    rng = random.Random(2)
+    lengths = sorted((rng.randint(1, 100) for _ in range(400)), reverse=True)
+    room, want = [], []
+    for n in lengths:
+        fits = [(r, b) for b, r in enumerate(room) if r >= n]
+        b = min(fits)[1] if fits else len(room)
+        if not fits:
+            room.append(100)
+        want.append((b, 100 - room[b]))
+        room[b] -= n
+    assert packing.best_fit_decreasing(lengths, 100) == want
+
+
+def test_token_counts_are_the_best_cut(spark, rows):
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    counter = trie_counts.TokenCounter(ranks, pattern)
+    vocabulary = trie_counts.UnigramVocabulary(ranks)
+
+    def log_prob(piece):
+        state = 0
+        for byte in piece:
+            state = vocabulary.step.get(state << 8 | byte)
+            if state is None:
+                return None
+        return vocabulary.ends[state]
+
+    def plain(word):
+        best = [(0.0, 0)]
+        for i in range(1, len(word) + 1):
+            cuts = [(best[j][0] + p, best[j][1] - 1) for j in range(i) if (p := log_prob(word[j:i])) is not None]
+            best.append(max(cuts))
+        return -best[-1][1], best[-1][0]
+
+    found = trie_counts.token_counts(documents(spark, rows), ranks, pattern).collect()
+    want = []
+    for i, t in rows:
+        words = [plain(w.encode()) for w in counter.pattern.findall((t or "")[:400])]
+        if len(t or "") <= 400:
+            want.append((i, len(words), sum(n for n, _ in words), round(sum(s for _, s in words), 6)))
+    got = [(r.doc_id, r.n_pretokens, r.n_tokens, round(r.log_prob, 6)) for r in found if r.n_chars <= 400]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_context_tree_against_definition(spark):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice("ab B\n") for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(7, None), (None, "ab")]
+    depth = 2
+    counts, words, ends = {}, Counter(), 0
+
+    def symbols(text):
+        data = b"\xff" * depth + (text or "").encode().lower() + b"\xff"
+        return [(data[p - depth : p], data[p]) for p in range(depth, len(data))]
+
+    held = {i: context_tree.is_held_out(i, context_tree.LmSpec()) for i, _ in rows}
+    for i, t in rows:
+        if not held[i]:
+            words.update((t or "").lower().split())
+            ends += 1
+            for context, byte in symbols(t):
+                for level in range(8):
+                    node, bit = (1 << level) | (byte >> (8 - level)), byte >> (7 - level) & 1
+                    for d in range(depth + 1):
+                        counts.setdefault((node, context[depth - d :]), [0, 0])[bit] += 1
+
+    def kt(n):
+        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.lgamma(sum(n) + 1) - math.log(math.pi)
+
+    mixed = {}
+
+    def mix(node, context):
+        if (node, context) not in mixed:
+            own = kt(counts[node, context])
+            if len(context) < depth:
+                below = sum(mix(node, bytes([c]) + context) for c in range(256) if (node, bytes([c]) + context) in counts)
+                own = np.logaddexp(own, below) - math.log(2)
+            mixed[node, context] = own
+        return mixed[node, context]
+
+    def chance(node, context, bit, d=0):
+        own = context[depth - d :]
+        if (node, own) not in counts:
+            return 0.5
+        n = counts[node, own]
+        p = (n[bit] + 0.5) / (sum(n) + 1)
+        if d == depth:
+            return p
+        share = math.exp(kt(n) - math.log(2) - mix(node, own))
+        return share * p + (1 - share) * chance(node, context, bit, d + 1)
+
+    total, distinct = sum(words.values()) + ends, len(words) + 1
+    found = context_tree.score(spark, spark.createDataFrame(rows, "doc_id long, text string"), context_tree.LmSpec(depth=depth))
+    got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in found.collect()), key=repr)
+    want = []
+    for i, t in rows:
+        tokens = (t or "").lower().split()
+        c = [words[w] for w in tokens] + [ends]
+        base = sum(math.log10((x + 1) / (total + distinct + 1)) for x in c)
+        score = sum(
+            math.log10(chance((1 << k) | (b >> (8 - k)), context, b >> (7 - k) & 1))
+            for context, b in symbols(t) for k in range(8)
+        )
+        want.append((i, len(c), sum(x > 0 for x in c), total, base, score))
+    for a, b in zip(got, sorted(want, key=repr), strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], rel=1e-5)
+
+
+def test_top_k(spark):
+    rng = np.random.default_rng(3)
+    vectors = [(int(i), rng.normal(size=8).astype("f4").tolist()) for i in range(300)]
+    vectors += [(300, vectors[0][1]), (301, None), (302, [float("nan")] * 8), (303, [1.0]), (304, [None] * 8), (None, [0.0] * 8)]
+    table = topk.scaled(spark.createDataFrame(vectors, "vec_id long, embedding array<float>"))
+    asked = table.filter("vec_id % 50 = 0")
+    found = topk.top_k(asked, table, k=5, block=32, blocks_each=3, query_block=2).collect()
+    known = {i: np.floor(np.array(v, float) * 256) for i, v in vectors[:301]}
+    want = []
+    for q in range(0, 301, 50):
+        scores = sorted((-int(known[q] @ known[i]), i) for i in known if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == want
+
+
+def test_leaks_are_found_with_edits(spark):
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    items = [(i, text(rng.randint(60, 200))) for i in range(15)] + [(90, None), (91, "short")]
+    rows, want = [(900, None), (901, ""), (902, text(3000))], set()
+    for i in range(40):
+        item, passage = items[i % 15]
+        broken = list(passage)
+        for _ in range(i % 3):
+            at = rng.randrange(len(broken))
+            broken[at : at + 1] = rng.choice([[], ["x"], [broken[at], "y"]])
+        rows.append((i, text(200) + " " + "".join(broken).upper() + "\n " + text(100)))
+        want.add((i, item))
+    found = decontaminate.find_leaks(
+        documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"),
+        decontaminate.LeakSpec(part_bytes=500),
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    docs = documents(spark, rows)
+    kept = decontaminate.drop_leaks(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {900, 901, 902}
+
+
+def test_language_of_held_out_texts(spark):
+    rows = [(i, ("the quick fox " if i % 2 else "der schnelle fuchs ") * 5, "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(99, None, "en"), (98, "123 !!", None)], "doc_id long, text string, lang string")
+    profiles = langid.learn_profiles(docs, F.col("doc_id") < 40)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(docs, profiles).collect()}
+    assert all(found[i][0] == lang and 0 < found[i][1] <= 1 for i, _, lang in rows)
+    assert found[99] == found[98] == ("und", 0.0)
+
+
+def test_chain_learns_words_and_leaves_clean_texts(spark):
+    rng = random.Random(1)
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        text = [rng.choice(words) for _ in range(60)] + ["vile"] * (i % 8 == 0)
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), i % 8 == 0))
+    docs = documents(spark, [(i, t) for i, t, _ in rows] + [(None, None), (1000, "")])
+    labels = spark.createDataFrame([(i, 1, int(y)) for i, _, y in rows[:300]] + [(None, 1, 1)], "doc_id long, quality int, toxic int")
+    chain = toxicity.fit_chain(docs, labels, CHAIN)
+    found = {r.doc_id: r.toxic for r in toxicity.score_chain(docs, chain, CHAIN).collect()}
+    assert all(found[i] == y for i, _, y in rows) and not found[None] and not found[1000]
+    empty = toxicity.fit_chain(docs, labels.limit(0), CHAIN)
+    assert not toxicity.score_chain(docs, empty, CHAIN).filter("toxic").count()
+
+
+def test_chat_is_read_back_whole(spark):
+    nasty = ["a\\|b<|c", HOSTILE, "<|im_start|>", "\\", "<", "|", "", None, "日本\n<\\|"]
+    rows = [(c, t, ["system", "user", "assistant"][t % 3] if t else None, nasty[(c + t) % len(nasty)]) for c in range(9) for t in range(5)]
+    found = chat.digests(chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    for r in found.collect():
+        own = [(role or "", text or "") for c, _, role, text in rows if c == r.conv_id]
+        told = "".join(f"{role}\n{text}\n" for role, text in own)
+        learned = "".join(text for role, text in own if role == "assistant")
+        assert (r.n_turns, r.turns_sha256) == (5, hashlib.sha256(told.encode()).hexdigest())
+        assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert not r.valid
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, [(1, "x")]).limit(0)
+    items = spark.createDataFrame([], "item_id long, text string")
+    for df in (
+        suffix_dedup.dedup(spark, docs), jaccard_join.near_duplicates(spark, docs), jaccard_join.keep_first(spark, docs),
+        suffix_dedup.cut_passages(spark, docs), context_tree.score(spark, docs), packing.pack(spark, docs, **PACKING),
+        decontaminate.find_leaks(docs, items),
+    ):
+        assert df.count() == 0
