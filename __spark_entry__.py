@@ -256,7 +256,7 @@ def _retail_queries() -> dict[str, Query]:
         ),
         "page_links": lambda s, d: catalog.page_links(standins.table(s, d, "pages")),
         "link_names": lambda s, d: catalog.link_names(catalog.page_links(standins.table(s, d, "pages"))),
-        "page_urls": lambda s, d: catalog.page_urls(standins.listing(s, d), first_page=9),
+        "page_urls": lambda s, d: catalog.page_urls(standins.listing(s, d), first_page=1),
         "page_numbers": lambda s, d: standins.table(s, d, "pages").select(
             "page_id", text.page_number(F.col("url")).alias("page_no")
         ),
@@ -519,7 +519,7 @@ def _retail_sql() -> dict[str, str]:
         "page_urls": f"""
             WITH {oracle_tables('listing')}
             SELECT base_url, page_no, base_url || '&page=' || page_no AS url
-            FROM (SELECT base_url, CAST(unnest(generate_series(9, CAST(regexp_extract(last_href, '[0-9]+$') AS INTEGER)))
+            FROM (SELECT base_url, CAST(unnest(generate_series(1, CAST(regexp_extract(last_href, '[0-9]+$') AS INTEGER)))
                                         AS INTEGER) AS page_no FROM listing)""",
         "page_numbers": "SELECT page_id, TRY_CAST(string_split(url, '=')[-1] AS INTEGER) AS page_no FROM pages",
         "quoted_titles": """

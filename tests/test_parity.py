@@ -15,16 +15,25 @@ def db():
     return parity.connect(SF)
 
 
-def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+RETAIL = entry._retail_queries()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+def test_every_retail_query_has_sql():
+    assert set(RETAIL) == set(entry._retail_sql())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", RETAIL)
 def test_query_equals_sql(spark, db, name):
     got = parity.spark_rows(entry.queries()[name](spark, SF))
     assert got == parity.duck_rows(db, entry.oracle_sql()[name])
 
 
+def test_page_urls_start_at_the_first_page(spark):
+    pages = entry.queries()["page_urls"](spark, SF)
+    assert pages.filter("page_no = 1").count() and pages.filter("page_no < 1").isEmpty()
+
+
 def test_entry_has_regions_and_the_nation(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["level", "region"]
