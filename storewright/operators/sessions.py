@@ -117,29 +117,36 @@ def text_labels(
     classifier_factory: ClassifierFactory,
     spec: LabelSpec,
     max_parallel: int | None = None,
+    batch_size: int = 1,
 ) -> DataFrame:
     """Labels per distinct text: (text_hash, is_service, category, label_status).
 
-    Each distinct text is sent once. ``max_parallel`` caps the concurrent
-    callers; otherwise every task slot may call.
+    Each distinct text is sent once, also when a call fails: the prompts of a
+    failed call get no answer. The classifier gets ``batch_size`` prompts a call
+    and may return None for some of them. The stage is bound by calls and not by
+    bytes, so it has an explicit number of tasks: ``max_parallel``, which caps the
+    concurrent callers, or as many as there are shuffle partitions.
     """
     prompts = (
         texts.select("text")
         .distinct()
         .select(text_hash(F.col("text")).alias("text_hash"), build_prompt(F.col("text"), spec).alias("prompt"))
     )
-    if max_parallel is not None:
-        prompts = prompts.repartition(max_parallel, "text_hash")
+    tasks = max_parallel or int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prompts = prompts.repartition(tasks, "text_hash")
 
     def answers(classifier, asked):
-        # One answer or None per prompt; a failing batch is asked again prompt by prompt.
-        try:
-            given = list(classifier(asked))
-            if len(given) == len(asked):
-                return [answer if isinstance(answer, str) else None for answer in given]
-        except Exception:
-            pass
-        return [None] if len(asked) == 1 else [answers(classifier, [prompt])[0] for prompt in asked]
+        # One answer or None per prompt; what was asked is not asked again.
+        out = []
+        for i in range(0, len(asked), batch_size):
+            some = asked[i : i + batch_size]
+            try:
+                given = list(classifier(some))
+            except Exception:
+                given = []
+            whole = len(given) == len(some)
+            out.extend(a if isinstance(a, str) else None for a in (given if whole else [None] * len(some)))
+        return out
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classifier = classifier_factory()

@@ -156,7 +156,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One session per user turn and the reply to it, each under a "name timestamp" line.
+    """One session per turn and the one after it, each under a "name timestamp" line.
 
     Paired by an equi-join on (conversation, turn), so that a conversation of
     any length is never gathered in one place.
@@ -170,8 +170,7 @@ def session(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat("role", F.lit(stamp), "text").alias("reply"),
     )
     return (
-        turns.filter(F.col("role") == "user")
-        .join(reply, ["conv_id", "turn"], "left")
+        turns.join(reply, ["conv_id", "turn"], "left")
         .select(
             F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("session_id"),
             "last_agent",
@@ -246,8 +245,7 @@ ORACLE = {
         SELECT u.conv_id || '-' || u.turn AS session_id, r.role AS last_agent,
                u.role || ' 2024-01-01 10:00:00' || chr(10) || u.text || chr(10)
                || r.role || ' 2024-01-01 10:00:00' || chr(10) || r.text AS transcript
-        FROM conversations u LEFT JOIN conversations r ON r.conv_id = u.conv_id AND r.turn = u.turn + 1
-        WHERE u.role = 'user'""",
+        FROM conversations u LEFT JOIN conversations r ON r.conv_id = u.conv_id AND r.turn = u.turn + 1""",
     "answer": """
         SELECT doc_id, CASE doc_id % 7
             WHEN 0 THEN chr(10) || chr(10) || '```json' || chr(10) || pair || chr(10) || '```'

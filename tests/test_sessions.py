@@ -126,6 +126,23 @@ def test_each_distinct_text_is_asked_once(spark, tmp_path):
     assert sorted(log.read_text().split()) == ["t0", "t1", "t2"]
 
 
+def test_failing_texts_cost_one_call_each(spark, tmp_path):
+    log = str(tmp_path / "calls")
+
+    def factory():
+        def answer(prompts):
+            with open(log, "a") as f:
+                f.write("call\n" * len(prompts))
+            raise RuntimeError("refused")
+
+        return answer
+
+    rows = [(f"s{i}", f"t{i % 20}") for i in range(60)]
+    got = labelled(ops.classify(texts_of(spark, rows), factory, SPEC))
+    assert set(got.values()) == {FAILED}
+    assert len((tmp_path / "calls").read_text().split()) == 20
+
+
 @pytest.mark.parametrize("answers", [lambda p: [], lambda p: 1 / 0, lambda p: None, lambda p: [7] * len(p)])
 def test_a_classifier_that_breaks_its_contract_gives_fallback_labels(spark, answers):
     got = labelled(ops.classify(texts_of(spark, [("a", "x"), ("b", "y")]), lambda: answers, SPEC))
