@@ -42,13 +42,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars already: every node hangs on one other, which hangs on none."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    both = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return both.filter("up > 1 OR (up = 1 AND down = 1)").isEmpty()
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an edge (u, v); the root is the smallest node of the component."""
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-    state, edges = None, written(spark, edges)
-    while True:
-        new = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == state or not new[0]:
-            break
-        state, edges = new, written(spark, _small_star(_large_star(edges)))
+    edges = written(spark, edges)
+    while not _settled(edges):
+        edges = written(spark, _small_star(_large_star(edges)))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -12,13 +12,14 @@ is least, and a pair is verified only when it shares min(l, l') prefix tokens.
 
 How it runs. Chunks send their distinct tokens, packed, to buckets and get the
 document counts back; equal sets collapse to their smallest document. Tokens
-that one document holds make no posting. Before pairs are made, rounds of stars
-compare each document with one that leads most of its lists and belongs to the
-largest component there; pairs are then made only between documents that are
-still in different components, so a group of thousands of copies costs its size
-and not its square. No pair is
-capped or dropped; a pair that meets too late in the order to link is not made. Sets of documents that have postings are stored once;
-intersections are built-in array functions.
+that one document holds make no posting. While the lists hold many more pairs
+than postings, and a round still lowers that, rounds of stars compare each
+document with one that leads most of its lists and belongs to the largest
+component there; pairs are then made only between documents that are still in
+different components, so a group of thousands of copies costs its size and not
+its square. No pair is capped or dropped; a pair that meets too late in the
+order to link is not made. Sets of documents that have postings are stored
+once; intersections are built-in array functions.
 
 Tokens are 64-bit hashes. Defined results: a null or blank text has the empty
 set and links with nothing; a null id takes the component id of its component
@@ -52,7 +53,8 @@ class JoinSpec:
     words: int = 5
     percent: int = 75
     bucket_bytes: int = 4_000_000
-    star_rounds: int = 4
+    star_rounds: int = 8
+    pairs_each: int = 4
 
 
 # --- shingles ----------------------------------------------------------------
@@ -302,6 +304,14 @@ def _merged_roots(spark: SparkSession, roots: DataFrame, found: DataFrame) -> Da
     return written(spark, joined.join(sizes, "root"))
 
 
+def _pairs_left(postings: DataFrame) -> tuple[int, int]:
+    """How many pairs of different components the lists hold, before any filter, and how many postings there are."""
+    parts = postings.groupBy("token", "root").agg(F.count("*").cast("double").alias("n"))
+    lists = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    left, held = lists.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
+    return int(left or 0), int(held or 0)
+
+
 def _pairs(postings: DataFrame, percent: int) -> DataFrame:
     """All pairs of different components that share enough prefix tokens."""
     mixed = postings.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
@@ -360,7 +370,13 @@ def _near_duplicates(spark: SparkSession, chunks: DataFrame, spec: JoinSpec) ->
     )
 
     roots = written(spark, sets.select("node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")))
+    before = None
     for turn in range(spec.star_rounds):
+        left, held = _pairs_left(lists.join(roots, "node"))
+        # Few pairs are made at once; the same if the last round did not save a fifth of them.
+        if left <= spec.pairs_each * held or (before is not None and 5 * left > 4 * before):
+            break
+        before = left
         stars = _stars(lists.join(roots, "node"), turn, spec.percent)
         found = written(spark, verified(stars, sets, spec.percent))
         if found.isEmpty():
