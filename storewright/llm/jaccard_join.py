@@ -188,14 +188,17 @@ def choose_matches(counts: np.ndarray, n: int, percent: int) -> int:
 
     Postings cost what their lists hold; candidates are at most what the lists
     hold divided by the required matches, and one costs a pass over the set.
+    Tokens so late that a set of the same size could not link from there on are
+    not counted: the position filter leaves those pairs out.
     """
     needed = least_overlap(n, percent)
+    alike = -(-2 * percent * n // (100 + percent))  # what two sets of n must share
     met = np.concatenate(([0], np.cumsum(counts - 1)))
     best, chosen = None, 1
     for matches in LEVELS:
         if matches > needed:
             break
-        lists = float(met[n - needed + matches])
+        lists = float(met[n - alike + matches])
         cost = lists + lists / matches * n / 4
         if best is None or cost < best:
             best, chosen = cost, matches
