@@ -7,16 +7,17 @@ training, those are out-of-fold: each fold's rows get them from a model that
 did not see the fold. The decision threshold of the last category is the one
 with the best F1 on its own out-of-fold probabilities.
 
-The chain is fitted in one task on at most ``sample_rows`` labelled rows, those
-with the smallest hash of their id, and a model looks at the ``features`` words
+The chain is fitted in one task on at most ``sample_rows`` labelled ids, those
+with the smallest hash, and a model looks at the ``features`` words
 that differ most between its classes; these bounds are the only ones. Every
 document is scored with all its words.
 
 Defined results: a null or empty text has no words and is judged by the
 intercepts; labels that are null, and ids that are null or not in the table,
-are not learned from; of several labels of an id the larger counts; with no
-labelled row, or only one class, a category has probability 0 or 1 throughout
-and the last one's threshold accepts nothing; repeated rows are scored each.
+are not learned from; of several labels of an id the larger counts, of several
+texts the one with the smallest hash is learned from; with no labelled row, or
+only one class, a category has probability 0 or 1 throughout and the last one's
+threshold accepts nothing; repeated rows are scored each.
 """
 
 from __future__ import annotations
@@ -155,7 +156,7 @@ def train(sets: list[set[str]], labels: np.ndarray, folds: np.ndarray, spec: Cha
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, spec: ChainSpec) -> DataFrame:
-    """At most ``sample_rows`` labelled ids with text, fold and labels."""
+    """At most ``sample_rows`` labelled ids, a row each, with text, fold and labels."""
     known = labels.filter(F.col("doc_id").isNotNull())
     marks = known.groupBy("doc_id").agg(
         *[F.max(F.expr(rule).cast("double")).alias(f"is_{name}") for name, rule in spec.categories.items()]
@@ -164,9 +165,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, spec: ChainSpec) -> Data
     # Of a bounded number of rows, each of a few numbers.
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id")
-    # Ids that repeat must not take the sample beyond its bound.
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(spec.folds)))
-    return rows.orderBy("doc_id", F.xxhash64("text")).limit(spec.sample_rows)
+    # One row of each id, so ids that repeat neither take the sample beyond its bound nor push others out of it.
+    own = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    rows = rows.groupBy("doc_id", *[f"is_{name}" for name in spec.categories]).agg(own)
+    return rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(spec.folds)))
 
 
 def fit_chain(docs: DataFrame, labels: DataFrame, spec: ChainSpec) -> Chain:
@@ -187,7 +189,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, spec: ChainSpec) -> Chain:
         }
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(told)])], ["chain"])
 
-    sample = labelled_sample(docs, labels, spec).coalesce(1)
+    sample = labelled_sample(docs, labels, spec).coalesce(1).sortWithinPartitions("doc_id")
     found = sample.mapInArrow(fit, "chain string").first()
     if found is None:
         return Chain(tuple(LinearModel(-700.0, {}, (0.0,) * i) for i in range(len(names))), NOTHING)

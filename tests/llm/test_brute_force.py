@@ -331,6 +331,21 @@ def test_chain_learns_words_and_leaves_clean_texts(spark):
     assert not toxicity.score_chain(docs, empty, CHAIN).filter("toxic").count()
 
 
+def test_repeated_ids_do_not_push_others_out_of_the_sample(spark):
+    spec = toxicity.ChainSpec(CHAIN.categories, sample_rows=100, min_docs=2)
+    rows = [(0, f"calm words {i % 7}") for i in range(300)] + [(0, None)]
+    rows += [(i, f"calm words {i}" + " vile" * (i % 4 == 0)) for i in range(1, 80)]
+    docs = documents(spark, rows + [(1000, "vile words"), (1001, "calm words")])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0 and i > 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, spec).collect()
+    assert sorted(r.doc_id for r in sample) == list(range(80))
+    assert all((r.doc_id, r.text) in set(rows) and r.is_toxic == (r.doc_id % 4 == 0 and r.doc_id > 0) for r in sample)
+    found = {r.doc_id: r.toxic for r in toxicity.score_chain(docs, toxicity.fit_chain(docs, labels, spec), spec).collect()}
+    assert found[1000] and not found[1001] and not found[0]
+    small = toxicity.labelled_sample(docs, labels, toxicity.ChainSpec(CHAIN.categories, sample_rows=30))
+    assert small.select("doc_id").distinct().count() == small.count() == 30
+
+
 def test_chat_is_read_back_whole(spark):
     nasty = ["a\\|b<|c", HOSTILE, "<|im_start|>", "\\", "<", "|", "", None, "日本\n<\\|"]
     rows = [(c, t, ["system", "user", "assistant"][t % 3] if t else None, nasty[(c + t) % len(nasty)]) for c in range(9) for t in range(5)]
