@@ -5,20 +5,24 @@ bytes. A passage of m bytes occurs when some part of a document is within k
 edits of the whole of it, k = min(rate * m, what the lemma allows). Such a part
 shares at least t = m - q + 1 - k * q of the passage's q-grams, on diagonals
 that differ by at most k. Shared q-grams are counted in bands of 2 (k + 1)
-diagonals that overlap by half; bands with t or more are verified.
+diagonals that overlap by half; bands with t or more are verified. A passage of
+fewer than q bytes occurs where its bytes do, neither beginning nor ending
+within a word (letters, marks, digits, underscore).
 
 The passages go to the tasks in parts of at most ``part_bytes`` bytes, one pass
 over the documents for each part (a benchmark of usual size is one part).
 
 Defined results: a null or empty text holds nothing; passages that are null or
-shorter than ``shortest`` bytes take no part; a repeated passage is reported
-for each item id; null ids are kept; positions are those of the compared bytes.
+empty take no part; a repeated passage is reported for each item id; null ids
+are kept; positions are those of the compared bytes.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,6 @@ SLICE_BYTES = 2_000_000
 class LeakSpec:
     q: int = 12
     rate: float = 0.05
-    shortest: int = 30
     part_bytes: int = 8_000_000
 
 
@@ -43,6 +46,34 @@ def compared(text: str | None) -> bytes:
     return " ".join((text or "").lower().split()).encode("utf-8", "surrogatepass")
 
 
+@lru_cache(maxsize=1)
+def _in_words() -> np.ndarray:
+    """Code point -> whether it belongs to a word."""
+    return np.array([unicodedata.category(chr(c))[0] in "LMN" or c == 95 for c in range(0x110000)], bool)
+
+
+def within_words(data: bytes) -> np.ndarray:
+    """Per byte, and for the end, whether the characters before and at it belong to one word."""
+    codes = np.frombuffer(data.decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+    word = _in_words()[codes]
+    sizes = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+    out = np.zeros(len(data) + 1, bool)
+    out[np.cumsum(sizes)[:-1]] = word[:-1] & word[1:]
+    return out
+
+
+def ends_of_grams(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first and the last up to eight bytes of the n bytes at every position, n up to 16, as numbers."""
+    count = max(0, len(data) - n + 1)
+    padded = data + bytes(16)
+    eight = np.empty(len(data) + 1, np.uint64)
+    for o in range(min(8, len(eight))):
+        eight[o::8] = np.frombuffer(padded, "<u8", len(range(o, len(eight), 8)), o)
+    if n < 8:
+        return eight[:count] & np.uint64((1 << 8 * n) - 1), np.zeros(count, np.uint64)
+    return eight[:count], eight[n - 8 : n - 8 + count]
+
+
 def gram_hashes(data: bytes, q: int) -> np.ndarray:
     """A 64-bit hash of the q-gram at every position, q from 8 to 16."""
     n = len(data) - q + 1
@@ -88,9 +119,13 @@ class Leaks:
     def __init__(self, items: list[tuple[int | None, str]], spec: LeakSpec):
         self.spec, self.items = spec, []
         grams, owner, place = [], [], []
+        short: dict[int, dict[bytes, list[int]]] = {}
         for item_id, text in items:
             data = compared(text)
-            if len(data) < max(spec.shortest, spec.q):
+            if len(data) < spec.q:
+                if data:
+                    short.setdefault(len(data), {}).setdefault(data, []).append(len(self.items))
+                    self.items.append((item_id, np.frombuffer(data, np.uint8), 0, 1))
                 continue
             hashes = gram_hashes(data, spec.q)
             k = max(0, min(int(spec.rate * len(data)), (len(data) - spec.q) // spec.q))
@@ -108,6 +143,13 @@ class Leaks:
         self.seen[self.grams >> np.uint64(64 - FILTER_BITS)] = True
         self.k = np.array([x[2] for x in self.items], np.int64)
         self.least = np.array([x[3] for x in self.items], np.int64)
+        self.short = []  # of each length: hashes in order, first and last bytes, items
+        for n, known in short.items():
+            pairs = [ends_of_grams(data, n) for data in known]
+            first, last = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            hashes = first * MULTIPLIERS[0] + last * MULTIPLIERS[1]
+            order, own = np.argsort(hashes, kind="stable"), list(known.values())
+            self.short.append((n, hashes[order], first[order], last[order], [own[i] for i in order]))
 
     def regions(self, data: bytes, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(document, item, lowest diagonal) of bands with enough shared q-grams, diagonals from the document's start."""
@@ -131,6 +173,23 @@ class Leaks:
             for j in new[shared >= self.least[i[new]]]:
                 yield int(d[j]), int(i[j]), int(b[j] * 2 * (self.k[i[j]] + 1) - half * (self.k[i[j]] + 1))
 
+    def short_places(self, data: bytes, starts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(document, item, start, end) of the first occurrences of passages shorter than a q-gram."""
+        within = within_words(data) if self.short else None
+        ends = np.append(starts[1:], len(data)) - self.spec.q
+        for n, known, first, last, items in self.short:
+            a, b = ends_of_grams(data, n)
+            hashes = a * MULTIPLIERS[0] + b * MULTIPLIERS[1]
+            at = np.flatnonzero(~(within[: len(hashes)] | within[n : n + len(hashes)]))
+            key = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
+            same = (first[key] == a[at]) & (last[key] == b[at])
+            at, key = at[same], key[same]
+            doc = np.searchsorted(starts, at, "right") - 1
+            at, key, doc = (x[at + n <= ends[doc]] for x in (at, key, doc))
+            for i in np.unique(doc * len(known) + key, return_index=True)[1]:
+                start = int(at[i] - starts[doc[i]])
+                yield from ((int(doc[i]), item, start, start + n) for item in items[key[i]])
+
     def find(self, texts: list[str | None]) -> list[list[tuple[int | None, int, int, int]]]:
         """Per text the items in it: (item_id, start, end, distance), the nearest occurrence of each."""
         found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
@@ -150,6 +209,8 @@ class Leaks:
                     seen = found[base + doc].get(item)
                     here = (cost, start + left, end + left)
                     found[base + doc][item] = min(seen, here) if seen else here
+            for doc, item, start, end in self.short_places(data, offsets):
+                found[base + doc][item] = (0, start, end)
 
         for n, text in enumerate(texts):
             data = compared(text)

@@ -305,6 +305,46 @@ def test_leaks_are_found_with_edits(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {900, 901, 902}
 
 
+def test_short_passages_are_found(spark):
+    items = [
+        (1, "7 * 8 = 56"), (2, "Who wrote  Hamlet?"), (3, "12 + 30 = 42, is it so?"), (4, "x=1"), (5, "été"), (6, "X=1"),
+        (7, " "), (8, "what is the capital now?"), (9, "a"), (10, "=3-"), (11, "elevenbytes"), (12, "eightbyt"), (None, "x=1"),
+    ]
+    texts = [
+        "so 7 * 8 =  56.", "7 * 8 = 567", "17 * 8 = 56", "ask who wrote hamlet? now", "12 + 30 = 42, is it so? yes", "max=1 x=12",
+        "(x=1)", "un été froid", "étés", "tell what is the capitol now? ok", "a", "ab ba", "y =3- z", "=3-", None, "", "elevenbytes",
+        "eightbyt eightbyte", "elevenbytés", "x=1",
+    ] * 2
+
+    def edits(p, t):
+        row = [0] * (len(t) + 1)
+        for a in p:
+            new = [row[0] + 1]
+            for j, b in enumerate(t):
+                new.append(min(row[j] + (a != b), row[j + 1] + 1, new[j] + 1))
+            row = new
+        return min(row)
+
+    want = Counter()
+    for n, t in enumerate(texts):
+        for i, p in items:
+            p, whole = " ".join(p.lower().split()), " ".join((t or "").lower().split())
+            m = len(p.encode())
+            if m >= 12:
+                want[n, i] += edits(p.encode(), whole.encode()) <= min(int(0.05 * m), (m - 12) // 12)
+            elif m:
+                left = r"(?<!\w)" if re.match(r"\w", p[0]) else ""
+                right = r"(?!\w)" if re.match(r"\w", p[-1]) else ""
+                want[n, i] += bool(re.search(left + re.escape(p) + right, whole))
+    docs = documents(spark, list(enumerate(texts)))
+    found = decontaminate.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert Counter((r.doc_id, r.item_id) for r in found) == +want and {r.item_id for r in found} >= {1, 2, 3, 5, 8, 9, 10, 11, 12, None}
+    for r in found:
+        if r.item_id not in (2, 3, 8):
+            whole = " ".join(texts[r.doc_id].lower().split()).encode()
+            assert whole[r.start : r.end].decode() == dict(items)[r.item_id].lower() and r.distance == 0
+
+
 def test_language_of_held_out_texts(spark):
     rows = [(i, ("the quick fox " if i % 2 else "der schnelle fuchs ") * 5, "en" if i % 2 else "de") for i in range(60)]
     docs = spark.createDataFrame(rows + [(99, None, "en"), (98, "123 !!", None)], "doc_id long, text string, lang string")
