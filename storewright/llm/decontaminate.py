@@ -9,8 +9,11 @@ diagonals that overlap by half; bands with t or more are verified. A passage of
 fewer than q bytes occurs where its bytes do, neither beginning nor ending
 within a word (letters, marks, digits, underscore).
 
-The passages go to the tasks in parts of at most ``part_bytes`` bytes, one pass
-over the documents for each part (a benchmark of usual size is one part).
+Distinct passages are dealt to written parts of about ``part_bytes`` bytes; their
+item ids stay in a written side table that is joined to what was found. A
+benchmark of one part, the usual size, goes to the tasks with the code. Parts
+beyond that never reach the driver: the documents are written in chunks, and each
+chunk meets one part after the other, as rows of a task.
 
 Defined results: a null or empty text holds nothing; passages that are null or
 empty take no part; a repeated passage is reported for each item id; null ids
@@ -26,10 +29,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-OUT = "doc_id long, item_id long, start long, end long, distance int"
+from storewright.llm.chunks import Chunk, write_chunks
+from storewright.session import shared_folder
+
+FOUND = "doc_id long, passage long, start long, end long, distance int"
+PARTS = "part long, texts array<string>"
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 FILTER_BITS = 22
 SLICE_BYTES = 2_000_000
@@ -227,51 +235,121 @@ class Leaks:
         ]
 
 
-def _parts(benchmark: DataFrame, spec: LeakSpec) -> Iterator[list[tuple[int | None, str]]]:
-    """The passages in parts of bounded size."""
-    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+def _parts(benchmark: DataFrame, spec: LeakSpec) -> tuple[DataFrame, int]:
+    """The distinct passages, one row of texts per part, written; and the number of parts."""
+    texts = benchmark.select(F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull()).distinct()
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // spec.part_bytes))
-    for k in range(parts):
-        own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-        yield [(r["item_id"], r["text"]) for r in own.sort("item_id", "text").collect()]
+    dealt = texts.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(parts)))
+    rows = dealt.groupBy("part").agg(F.sort_array(F.collect_list("text")).alias("texts"))
+    path = shared_folder(benchmark.sparkSession)
+    rows.write.parquet(path)
+    return benchmark.sparkSession.read.schema(PARTS).parquet(path), parts
+
+
+def _items(benchmark: DataFrame, parts: DataFrame) -> DataFrame:
+    """Which items have which passage, written."""
+    places = parts.select("part", F.posexplode("texts").alias("place", "text"))
+    rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).join(places, "text")
+    path = shared_folder(benchmark.sparkSession)
+    rows.select(_passage(F.col("part"), F.col("place")).alias("passage"), "item_id").write.parquet(path)
+    return benchmark.sparkSession.read.schema("passage long, item_id long").parquet(path)
+
+
+def _passage(part: Column, place: Column) -> Column:
+    return F.shiftleft(part, 32) + place
+
+
+def _only_part(parts: DataFrame) -> list[str]:
+    row = parts.first()
+    return row["texts"] if row else []
+
+
+def _meet(chunks: DataFrame, parts: DataFrame) -> DataFrame:
+    """Each chunk, followed by all parts."""
+    own = chunks.withColumns({"part": F.lit(-1).cast("long"), "texts": F.lit(None).cast("array<string>")})
+    pairs = chunks.select("chunk").crossJoin(parts)
+    rows = own.unionByName(pairs, allowMissingColumns=True)
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "part")
+
+
+def _hits_of_chunks(batches: Iterator[pa.RecordBatch], spec: LeakSpec) -> Iterator[tuple[Chunk, list[list[tuple]]]]:
+    """Each chunk with the hits of its texts in all parts."""
+    chunk, texts, hits = None, [], []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if row["part"] < 0:
+                if chunk:
+                    yield chunk, hits
+                chunk = Chunk(row)
+                texts = [t.decode("utf-8", "surrogatepass") for t in chunk.texts()]
+                hits = [[] for _ in texts]
+            else:
+                first = row["part"] << 32
+                leaks = Leaks([(first + n, t) for n, t in enumerate(row["texts"])], spec)
+                for own, more in zip(hits, leaks.find(texts), strict=True):
+                    own.extend(more)
+    if chunk:
+        yield chunk, hits
+
+
+def _found(ids: list[int | None], hits: list[list[tuple]]) -> pa.RecordBatch:
+    rows = [(ids[n], *hit) for n, own in enumerate(hits) for hit in own]
+    columns = list(zip(*rows, strict=True)) or [[]] * 5
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "passage", "start", "end", "distance"]
+    )
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec | None = None) -> DataFrame:
     """One row per document and passage in it."""
     spec = spec or LeakSpec()
-    out = None
-    for items in _parts(benchmark, spec):
+    parts, count = _parts(benchmark, spec)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    if count == 1:
+        texts = _only_part(parts)
 
-        def find(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            leaks = Leaks(items, spec)
+        def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            leaks = Leaks(list(enumerate(texts)), spec)
             for batch in batches:
-                found = leaks.find(batch.column(1).to_pylist())
-                ids = batch.column(0).to_pylist()
-                rows = [(ids[n], *hit) for n, hits in enumerate(found) for hit in hits]
-                columns = list(zip(*rows, strict=True)) or [[]] * 5
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["doc_id", "item_id", "start", "end", "distance"],
-                )
-
-        part = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(find, OUT)
-        out = part if out is None else out.unionByName(part)
-    return out
+                yield _found(batch.column(0).to_pylist(), leaks.find(batch.column(1).to_pylist()))
+
+        found = rows.mapInArrow(find, FOUND)
+    else:
+
+        def find_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for chunk, hits in _hits_of_chunks(batches, spec):
+                yield _found(chunk.id_column().to_pylist(), hits)
+
+        found = _meet(write_chunks(docs.sparkSession, rows), parts).mapInArrow(find_in_chunks, FOUND)
+    return found.join(_items(benchmark, parts), "passage").select("doc_id", "item_id", "start", "end", "distance")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec | None = None) -> DataFrame:
     """The documents that hold no passage, all columns as they are."""
     spec = spec or LeakSpec()
     at = docs.columns.index("text")
-    for items in _parts(benchmark, spec):
+    parts, count = _parts(benchmark, spec)
+    if count == 1:
+        texts = _only_part(parts)
 
-        def keep(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            leaks = Leaks(items, spec)
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            leaks = Leaks(list(enumerate(texts)), spec)
             for batch in batches:
                 found = leaks.find(batch.column(at).to_pylist())
                 yield batch.filter(pa.array([not hits for hits in found], pa.bool_()))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+        return docs.mapInArrow(keep, docs.schema)
+    target = to_arrow_schema(docs.schema)
+
+    def keep_of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, hits in _hits_of_chunks(batches, spec):
+            kept = [n for n, own in enumerate(hits) if not own]
+            if kept:
+                texts = list(chunk.texts())
+                rows = chunk.rows(np.array(kept, np.int64), [texts[n] for n in kept])
+                yield from pa.table({n: rows[n] for n in target.names}, target).to_batches()
+
+    return _meet(write_chunks(docs.sparkSession, docs, carry=True), parts).mapInArrow(keep_of_chunks, docs.schema)

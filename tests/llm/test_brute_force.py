@@ -305,6 +305,32 @@ def test_leaks_are_found_with_edits(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {900, 901, 902}
 
 
+def test_large_benchmarks_stay_off_the_driver(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passages = [text(100) for _ in range(30)] + ["x=1"]
+    items = [(i, p) for i, p in enumerate(passages)] + [(100 + i, passages[0]) for i in range(200)] + [(1, passages[1]), (None, "x=1")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i if i % 7 else None, f"{text(50)} {passages[i % 40]} {text(20)}" if i % 40 < 31 else text(90)) for i in range(120)]
+    rows += [(500, None), (501, ""), (9, rows[0][1])]
+    want = Counter((d, i) for d, t in rows for i, p in items if f" {p} " in (t or ""))
+    spec = decontaminate.LeakSpec(part_bytes=1000)
+    parts, count = decontaminate._parts(benchmark, spec)
+    dealt = parts.collect()
+    assert count == 4 and sorted(t for r in dealt for t in r.texts) == sorted(passages)
+    assert max(sum(map(len, r.texts)) for r in dealt) < 1700  # 200 copies of a passage count once
+    monkeypatch.setattr(decontaminate, "_only_part", None)  # passages that reach the driver
+    docs = documents(spark, rows)
+    found = decontaminate.find_leaks(docs, benchmark, spec)
+    assert Counter((r.doc_id, r.item_id) for r in found.collect()) == want
+    # One pass over the chunks, whatever the number of parts.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    kept = decontaminate.drop_leaks(docs, benchmark, spec)
+    clean = [(d, t) for d, t in rows if not any(f" {p} " in (t or "") for p in passages)]
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(d, t, 1, "x", "y") for d, t in clean], key=repr)
+
+
 def test_short_passages_are_found(spark):
     items = [
         (1, "7 * 8 = 56"), (2, "Who wrote  Hamlet?"), (3, "12 + 30 = 42, is it so?"), (4, "x=1"), (5, "été"), (6, "X=1"),
