@@ -8,8 +8,10 @@ far as the profile is long. The nearest language wins, ties go to the smaller
 name. The score is one minus the distance over the largest possible one.
 
 Profiles are learned from counts over all training rows. Per language only the
-``profile_size`` most frequent n-grams reach the driver, and a table of more
-than ``max_languages`` languages is refused, so what tasks receive is bounded.
+``profile_size`` most frequent n-grams reach the driver, and only of up to
+``max_languages`` languages, so what tasks receive is bounded. The profiles of
+more languages are a written table: the n-grams of documents are joined to it
+and the distances summed per document and language, with the same results.
 
 Defined results: a null text or one without a letter gives ``und`` with score 0,
 as does every text when nothing can be learned; rows with a null language are
@@ -23,9 +25,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storewright.session import shared_folder
+
 BOUND = 1  # stands for everything that is not a letter
 BITS = 21  # of a code point
 UNKNOWN = "und"
@@ -81,8 +86,10 @@ def most_frequent(grams: np.ndarray, counts: np.ndarray, size: int) -> np.ndarra
     return grams[np.lexsort((grams, -counts))[:size]]
 
 
-def learn_profiles(docs: DataFrame, training: Column, size: int = 300, max_languages: int = 1000) -> dict[str, list[int]]:
-    """Language -> its most frequent n-grams, in order."""
+def learn_profiles(
+    docs: DataFrame, training: Column, size: int = 300, max_languages: int = 1000
+) -> dict[str, list[int]] | DataFrame:
+    """Language -> its most frequent n-grams, in order; of many languages a written table of lang, gram and rank."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,9 +111,12 @@ def learn_profiles(docs: DataFrame, training: Column, size: int = 300, max_langu
     )
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
-    rows = top.limit(size * max_languages + 1).collect()
-    if len(rows) > size * max_languages:
-        raise ValueError(f"more than {max_languages} languages")
+    path = shared_folder(docs.sparkSession)
+    top.select("lang", "gram", (F.col("rank") - 1).alias("rank")).write.parquet(path)
+    table = docs.sparkSession.read.schema("lang string, gram long, rank int").parquet(path)
+    if table.select("lang").distinct().limit(max_languages + 1).count() > max_languages:
+        return table
+    rows = table.collect()
     profiles: dict[str, list[int]] = {}
     for row in sorted(rows, key=lambda r: (r["lang"], r["rank"])):
         profiles.setdefault(row["lang"], []).append(row["gram"])
@@ -137,8 +147,10 @@ class Profiles:
         return self.names[best], 1.0 - float(out[best]) / (self.size * len(grams))
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = 300) -> DataFrame:
+def identify(docs: DataFrame, profiles: dict[str, list[int]] | DataFrame, size: int = 300) -> DataFrame:
     """The rows with lang_pred and score in place of all but doc_id."""
+    if isinstance(profiles, DataFrame):
+        return _identify_by_join(docs, profiles, size)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Profiles(profiles, size)
@@ -156,3 +168,50 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], size: int = 300) -
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
         predict, "doc_id long, lang_pred string, score double"
     )
+
+
+def _identify_by_join(docs: DataFrame, profiles: DataFrame, size: int) -> DataFrame:
+    """As above with a table of profiles.
+
+    An n-gram that a language has lies some ranks out of place, which is less
+    than the distance ``size`` of a missing one; the sums of what is saved stand
+    for the distances. Where no n-gram is shared all languages are equally far,
+    and the smallest name wins. Rows are told apart by
+    number, so ids may repeat or be null.
+    """
+    spark = docs.sparkSession
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            found = []
+            for text in batch.column(0):
+                codes = text_codes(text.as_py() or "")
+                letters = (codes != BOUND).any()
+                found.append(most_frequent(*gram_counts(codes), size).tolist() if letters else [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(n, n + len(found)), pa.int64()), batch.column(1), pa.array(found, pa.list_(pa.int64()))],
+                ["row", "doc_id", "grams"],
+            )
+            n += len(found)
+
+    path = shared_folder(spark)
+    schema = "row long, doc_id long, grams array<long>"
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows.mapInArrow(number, schema).write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    asked = rows.select("row", F.posexplode("grams").alias("place", "gram"))
+    saved = (
+        asked.join(profiles, "gram")
+        .groupBy("row", "lang")
+        .agg(F.sum(F.lit(size) - F.abs(F.col("rank") - F.col("place"))).alias("saved"))
+    )
+    best = saved.groupBy("row").agg(F.min(F.struct((-F.col("saved")).alias("less"), "lang")).alias("best"))
+    least = profiles.agg(F.min("lang").alias("least"))
+    n = F.size("grams")
+    distance = F.lit(size) * n - F.coalesce(-F.col("best.less"), F.lit(0))
+    return rows.join(best, "row", "left").crossJoin(least).select(
+        "doc_id",
+        F.when(n == 0, UNKNOWN).otherwise(F.coalesce("best.lang", "least")).alias("lang_pred"),
+        F.when(n == 0, 0.0).otherwise(1.0 - distance / (F.lit(size) * n)).alias("score"),
+    )

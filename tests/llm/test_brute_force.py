@@ -380,6 +380,21 @@ def test_language_of_held_out_texts(spark):
     assert found[99] == found[98] == ("und", 0.0)
 
 
+def test_many_languages_are_told_apart_by_a_join(spark):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnoé日本"
+    words = {f"l{n:02}": ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(12)] for n in range(30)}
+    rows = [(i, " ".join(rng.choices(words[f"l{i % 30:02}"], k=15)), f"l{i % 30:02}") for i in range(150)]
+    rows += [(500, None, "l00"), (501, "12 !", None), (None, "zzz", None), (502, "", "l01"), (503, "a b", None), (503, "a b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    few = langid.learn_profiles(docs, F.col("doc_id") < 90, size=40)
+    many = langid.learn_profiles(docs, F.col("doc_id") < 90, size=40, max_languages=29)
+    assert len(few) == 30 and not isinstance(many, dict)
+    want, got = (langid.identify(docs, p, size=40) for p in (few, many))
+    assert got.schema.names == want.schema.names and got.dtypes == want.dtypes
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 def test_chain_learns_words_and_leaves_clean_texts(spark):
     rng = random.Random(1)
     words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
