@@ -260,6 +260,9 @@ def _retail_queries() -> dict[str, Query]:
         "page_numbers": lambda s, d: standins.table(s, d, "pages").select(
             "page_id", text.page_number(F.col("url")).alias("page_no")
         ),
+        "listing_page_numbers": lambda s, d: catalog.page_urls(standins.listing(s, d), first_page=1).select(
+            "url", text.page_number(F.col("url")).alias("page_no")
+        ),
         "quoted_titles": _quoted_titles,
         # sources and sinks
         "report_table": _report_table,
@@ -522,6 +525,11 @@ def _retail_sql() -> dict[str, str]:
             FROM (SELECT base_url, CAST(unnest(generate_series(1, CAST(regexp_extract(last_href, '[0-9]+$') AS INTEGER)))
                                         AS INTEGER) AS page_no FROM listing)""",
         "page_numbers": "SELECT page_id, TRY_CAST(string_split(url, '=')[-1] AS INTEGER) AS page_no FROM pages",
+        "listing_page_numbers": f"""
+            WITH {oracle_tables('listing')},
+            last AS (SELECT base_url, CAST(regexp_extract(last_href, '[0-9]+$') AS INTEGER) AS n FROM listing)
+            SELECT base_url || '&page=' || page_no AS url, page_no
+            FROM (SELECT base_url, CAST(unnest(generate_series(1, n)) AS INTEGER) AS page_no FROM last)""",
         "quoted_titles": """
             SELECT p_partkey, replace(url_encode(p_name || ' / ' || p_brand || '~ *+&=礼品'), '%2F', '/') AS title_sku
             FROM part""",

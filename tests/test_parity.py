@@ -34,6 +34,13 @@ def test_page_urls_start_at_the_first_page(spark):
     assert pages.filter("page_no = 1").count() and pages.filter("page_no < 1").isEmpty()
 
 
+def test_page_numbers_are_read_from_urls(spark):
+    numbers = entry.queries()["listing_page_numbers"](spark, SF)
+    pages = entry.queries()["page_urls"](spark, SF).select("url", "page_no")
+    got = sorted(map(tuple, numbers.collect()))
+    assert got and None not in {n for _, n in got} and got == sorted(map(tuple, pages.collect()))
+
+
 def test_entry_has_regions_and_the_nation(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["level", "region"]
