@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storewright.llm import (
-    chat, context_tree, decontaminate, jaccard_join, langid, packing, suffix_dedup, topk, toxicity, trie_counts,
+    ball_search, chat, context_tree, decontaminate, jaccard_join, langid, packing, range_join, suffix_dedup, topk,
+    toxicity, trie_counts, whitening,
 )
 
 #: The labelled categories of the tables, in the order of the chain.
@@ -86,6 +87,18 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(conversations_with_hostile(spark, sf_dir)))
 
 
+def metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return range_join.range_links(spark, table(spark, sf_dir, "embeddings"))
+
+
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+def ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity_chain": toxicity_chain,
     "op2_top_k": top_k,
@@ -97,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": suffix_array_dedup,
     "op9_language_id": language_id,
     "op10_chat_format": chat_format,
+    "op11_metric_range_join": metric_range_join,
+    "op12_whitening": embedding_whitening,
+    "op13_ball_tree_search": ball_tree_search,
 }
 
 _TEMPLATE = chat.ChatTemplate()
@@ -107,6 +123,11 @@ _NEXT = " ".join(
     for role in roles
 )
 
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
 ORACLE_SQL: dict[str, str] = {
     "op2_top_k": """
         WITH v AS (
@@ -144,4 +165,47 @@ ORACLE_SQL: dict[str, str] = {
         SELECT conv_id, n_turns, turns_sha256, CAST(length(learned) AS BIGINT) AS loss_chars,
                sha256(learned) AS loss_sha256, formatted_chars, state, state = 'assistant' AS valid
         FROM told JOIN ends USING (conv_id)""",
+    "op11_metric_range_join": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        linked AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM v a JOIN v b
+              ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reached AS (
+            SELECT u, v FROM linked UNION SELECT r.u, l.v FROM reached r JOIN linked l ON l.u = r.v),
+        components AS (SELECT u, min(v) AS least FROM reached GROUP BY u),
+        counts AS (SELECT u, count(*) AS n FROM linked GROUP BY u),
+        named AS (
+            SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id
+            FROM embeddings e LEFT JOIN counts c ON c.u = e.vec_id LEFT JOIN components k ON k.u = e.vec_id)
+        SELECT *, vec_id = component_id AS kept FROM named""",
+    "op13_ball_tree_search": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row_id, doc_id, {_TERMS} AS terms
+            FROM documents),
+        i AS (
+            SELECT item_id, unnest(list_distinct({_TERMS})) AS term
+            FROM (SELECT item_id, max(text) AS text FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id)),
+        totals AS (SELECT count(*) AS big_n, CAST(sum(len(terms)) AS BIGINT) AS big_l FROM d WHERE len(terms) > 0),
+        counted AS (
+            SELECT row_id, doc_id, n, term, count(*) AS tf
+            FROM (SELECT row_id, doc_id, len(terms) AS n, unnest(terms) AS term FROM d)
+            WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+        weighted AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(big_n) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counted, totals GROUP BY term),
+        impacts AS (
+            SELECT row_id, doc_id, term,
+                   w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * big_n) // big_l))) AS impact
+            FROM counted JOIN weighted USING (term), totals),
+        scored AS (
+            SELECT item_id, row_id, doc_id, CAST(sum(impact) AS BIGINT) AS score
+            FROM i JOIN impacts USING (term) WHERE doc_id IS NOT NULL GROUP BY ALL HAVING sum(impact) > 0),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score FROM scored)
+        SELECT * FROM ranked WHERE rank <= 10""",
 }
