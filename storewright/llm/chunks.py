@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from storewright.llm.workers import give_back, releasing
 from storewright.session import shared_folder
 
 CHUNK_BYTES = 8_000_000
@@ -140,7 +141,7 @@ def write_chunks(
     name = f"chunks_{uuid.uuid4().hex}"
     text = F.col("text").cast("string")
     more = [F.col("text").isNull().alias(NO_TEXT), *others] if carry else []
-    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), *more).mapInArrow(gather, CHUNK)
+    rows = docs.select(F.col("doc_id").cast("long"), text.alias("text"), *more).mapInArrow(releasing(gather), CHUNK)
     rows.write.bucketBy(buckets, "chunk").option("path", shared_folder(spark)).saveAsTable(name)
     return spark.table(name)
 
@@ -159,6 +160,8 @@ def with_chunk(
     def both(left: pa.Table, right: pa.Table) -> pa.Table:
         given = right.to_pylist()
         out = [pa.table(x, target) for row in left.to_pylist() for x in work(Chunk(row), given)]
+        del given
+        give_back()
         return pa.concat_tables(out) if out else target.empty_table()
 
     return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(both, schema)
@@ -173,7 +176,7 @@ def per_chunk(chunks: DataFrame, work: Callable[[Chunk], Iterator[dict]], schema
                 for out in work(Chunk(batch.slice(i, 1).to_pylist()[0])):
                     yield from pa.table(out, target).to_batches()
 
-    return chunks.mapInArrow(each, schema)
+    return chunks.mapInArrow(releasing(each), schema)
 
 
 def per_bucket(rows: DataFrame, keys: list[str], work: Callable[[list[dict]], Iterator[dict]], schema: str) -> DataFrame:
@@ -182,6 +185,7 @@ def per_bucket(rows: DataFrame, keys: list[str], work: Callable[[list[dict]], It
 
     def each(table: pa.Table) -> pa.Table:
         out = [pa.table(x, target) for x in work(table.to_pylist())]
+        give_back()
         return pa.concat_tables(out) if out else target.empty_table()
 
     return rows.groupBy(*keys).applyInArrow(each, schema)

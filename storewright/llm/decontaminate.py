@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from storewright.llm.chunks import Chunk, write_chunks
+from storewright.llm.workers import releasing
 from storewright.session import shared_folder
 
 FOUND = "doc_id long, passage long, start long, end long, distance int"
@@ -316,14 +317,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec | None = No
             for batch in batches:
                 yield _found(batch.column(0).to_pylist(), leaks.find(batch.column(1).to_pylist()))
 
-        found = rows.mapInArrow(find, FOUND)
+        found = rows.mapInArrow(releasing(find), FOUND)
     else:
 
         def find_in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for chunk, hits in _hits_of_chunks(batches, spec):
                 yield _found(chunk.id_column().to_pylist(), hits)
 
-        found = _meet(write_chunks(docs.sparkSession, rows), parts).mapInArrow(find_in_chunks, FOUND)
+        found = _meet(write_chunks(docs.sparkSession, rows), parts).mapInArrow(releasing(find_in_chunks), FOUND)
     return found.join(_items(benchmark, parts), "passage").select("doc_id", "item_id", "start", "end", "distance")
 
 
@@ -341,7 +342,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec | None = No
                 found = leaks.find(batch.column(at).to_pylist())
                 yield batch.filter(pa.array([not hits for hits in found], pa.bool_()))
 
-        return docs.mapInArrow(keep, docs.schema)
+        return docs.mapInArrow(releasing(keep), docs.schema)
     target = to_arrow_schema(docs.schema)
 
     def keep_of_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,4 +353,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, spec: LeakSpec | None = No
                 rows = chunk.rows(np.array(kept, np.int64), [texts[n] for n in kept])
                 yield from pa.table({n: rows[n] for n in target.names}, target).to_batches()
 
-    return _meet(write_chunks(docs.sparkSession, docs, carry=True), parts).mapInArrow(keep_of_chunks, docs.schema)
+    return _meet(write_chunks(docs.sparkSession, docs, carry=True), parts).mapInArrow(releasing(keep_of_chunks), docs.schema)

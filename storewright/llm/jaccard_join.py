@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from storewright.llm.chunks import Chunk, bucket_count, pack, per_bucket, per_chunk, unpack, with_chunk, write_chunks
 from storewright.llm.components import components, written
+from storewright.llm.workers import releasing
 
 SLICE_BYTES = 1_000_000
 ROW_BITS = 20
@@ -354,7 +355,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, spec: JoinSpec | None
 def _near_duplicates(spark: SparkSession, chunks: DataFrame, spec: JoinSpec) -> DataFrame:
     buckets = bucket_count(chunks, spec.bucket_bytes)
     asked = written(spark, per_chunk(chunks, lambda c: ask(c, spec, buckets), ASKED))
-    rows = written(spark, asked.filter(F.col("kind") == SETS).mapInArrow(_classes, CLASSES))
+    rows = written(spark, asked.filter(F.col("kind") == SETS).mapInArrow(releasing(_classes), CLASSES))
     # The smallest document of each set; a null id comes last.
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node")
     classes = written(spark, rows.groupBy("high", "low").agg(F.min(order).alias("first"), F.count("*").alias("members")))
@@ -367,7 +368,7 @@ def _near_duplicates(spark: SparkSession, chunks: DataFrame, spec: JoinSpec) ->
     )
     counts = per_bucket(asked.filter(F.col("kind") == KEYS), ["bucket"], count_documents, ASKED)
     packed = with_chunk(chunks, counts.unionByName(chosen), lambda c, a: prefixes(c, a, spec), PREFIXES)
-    sets = written(spark, packed.mapInArrow(_as_arrays, ARRAYS), "node")
+    sets = written(spark, packed.mapInArrow(releasing(_as_arrays), ARRAYS), "node")
     lists = sets.select("node", "n", "least", F.explode(F.arrays_zip("tokens", "places")).alias("one")).select(
         "node", "n", "least", F.col("one.tokens").alias("token"), F.col("one.places").alias("place")
     )

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storewright.llm.tokens import byte_bpe
+from storewright.llm.workers import releasing
 from storewright.session import shared_folder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -107,7 +108,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(cut, PIECES)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(releasing(cut), PIECES)
 
 
 def pack(

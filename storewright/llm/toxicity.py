@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from storewright.llm.workers import releasing
+
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
 NOTHING = 2.0  # a threshold that no probability reaches
@@ -70,6 +72,16 @@ class Chain:
     models: tuple[LinearModel, ...]
     threshold: float
 
+    def probabilities(self, texts: pa.Array) -> np.ndarray:
+        """A row per text, a column per category; each model is given those before it."""
+        found = []
+        for text in texts:
+            words, before = words_of(text.as_py()), []
+            for model in self.models:
+                before.append(model.probability(words, before))
+            found.append(before)
+        return np.array(found, float).reshape(-1, len(self.models))
+
 
 def words_of(text: str | None) -> set[str]:
     """Distinct lower-cased words, and their beginnings of some lengths, marked: inflected words share those."""
@@ -190,7 +202,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, spec: ChainSpec) -> Chain:
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(told)])], ["chain"])
 
     sample = labelled_sample(docs, labels, spec).coalesce(1).sortWithinPartitions("doc_id")
-    found = sample.mapInArrow(fit, "chain string").first()
+    found = sample.mapInArrow(releasing(fit), "chain string").first()
     if found is None:
         return Chain(tuple(LinearModel(-700.0, {}, (0.0,) * i) for i in range(len(names))), NOTHING)
     told = json.loads(found["chain"])
@@ -206,16 +218,21 @@ def score_chain(docs: DataFrame, chain: Chain, spec: ChainSpec) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for text in batch.column(at):
-                words, before = words_of(text.as_py()), []
-                for model in chain.models:
-                    before.append(model.probability(words, before))
-                found.append(before)
-            p = np.array(found, float).reshape(-1, len(chain.models))
+            p = chain.probabilities(batch.column(at))
             more = [pa.array(p[:, i]) for i in range(len(chain.models))]
             more.append(pa.array(p[:, -1] >= chain.threshold, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*kept, *added])
 
     rows = docs.select(*kept)
-    return rows.mapInArrow(score, StructType([*rows.schema.fields, *fields]))
+    return rows.mapInArrow(releasing(score), StructType([*rows.schema.fields, *fields]))
+
+
+def keep_clean(docs: DataFrame, chain: Chain) -> DataFrame:
+    """The rows of docs that the chain does not find toxic; all columns as they are, whatever their names."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(chain.probabilities(batch.column(at))[:, -1] < chain.threshold, pa.bool_()))
+
+    return docs.mapInArrow(releasing(keep), docs.schema)

@@ -140,7 +140,9 @@ def test_first_of_each_group_stays_with_its_columns(spark, near_rows):
 
 def test_packing_round_trip(spark, rows):
     tokenizer = Tokenizer.from_file(PACKING["tokenizer"])
-    tokenizer.encode_special_tokens = True
+    end = "<|endoftext|>"
+    rows = rows + [(700, end), (701, f"a{end}{end} b"), (702, f"two  blanks {end}x" * 30), (703, f"日本 {end} le soir"), (704, "<|endoftext |>")]
+    assert tokenizer.encode(rows[-4][1], add_special_tokens=False).ids.count(tokenizer.token_to_id(end)) == 2
     want = Counter()
     for i, t in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [2]

@@ -73,7 +73,6 @@ def holds(text, passage):
 
 def pieces(rows):
     tokenizer = Tokenizer.from_file(PACKING["tokenizer"])
-    tokenizer.encode_special_tokens = True
     size, out = PACKING["capacity"], Counter()
     for i, t in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [PACKING["end_id"]]
@@ -106,6 +105,7 @@ def tables(spark, tmp_path_factory):
         copy[20] = "other"
         rows.append((i, " ".join(copy)))
     rows += [(300, " ".join(passage)), (301, None), (302, ""), (303, " \n"), (None, " ".join(some(30))), (304, " ".join(some(2500)))]
+    rows.append((305, " ".join(some(20)) + "<|endoftext|>" + " ".join(some(20))))
     folder = tmp_path_factory.mktemp("tables")
     docs = [(i, t, "en", "made", None if t is None else len(t)) for i, t in rows]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars int").repartition(5).write.parquet(
@@ -137,6 +137,33 @@ def test_pipeline_against_plain_stages(spark, tables):
         assert ends[-1] <= PACKING["capacity"]
 
 
+CLASHING = "doc_id long, text string, toxic string, p_toxic string, node int, chunk string, kept string, lang string, n_chars int"
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES[:-1]])
+def test_stages_keep_columns_of_any_name(spark, tables, name):
+    """Columns named like those that operators add come back as they were; repeated rows too; empty tables stay empty."""
+    folder, rows, _ = tables
+    stage = dict(corpus_pipeline.STAGES)[name]
+    given = [(i, t, f"mine {n}", "p", n, "c", "k", "en", len(t or "")) for n, (i, t) in enumerate(rows + rows[9:12])]
+    docs = spark.createDataFrame(given, CLASHING).repartition(4)
+    kept = stage(spark, docs, folder)
+    assert kept.columns == docs.columns
+    by_number = {r[4]: r for r in given}
+    found = kept.collect()
+    assert 100 < len(found) <= len(given) and len({r.node for r in found}) == len(found)
+    for r in found:
+        want = by_number[r.node]
+        assert (r.doc_id, r.toxic, r.p_toxic, r.chunk, r.kept, r.lang) == (want[0], want[2], "p", "c", "k", "en")
+        assert r.text == want[1] or name == "suffix_dedup"
+    empty = stage(spark, spark.createDataFrame([], CLASHING), folder)
+    assert empty.columns == docs.columns and empty.collect() == []
+
+
+def test_packing_of_an_empty_table(spark, tables):
+    assert corpus_pipeline.pack_sequences(spark, spark.createDataFrame([], CLASHING), tables[0]).collect() == []
+
+
 def test_token_counts_of_long_texts(spark):
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     longest = max(len(base64.b64decode(line.split()[0])) for line in Path(ranks).read_bytes().splitlines() if line)
