@@ -19,8 +19,7 @@ from storewright.session import shared_folder
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not find toxic; it is fitted on the labelled ones among them."""
     chain = toxicity.fit_chain(docs, queries.table(spark, sf_dir, "labels"), queries.CHAIN)
-    kept = toxicity.score_chain(docs, chain, queries.CHAIN).filter(~F.col("toxic"))
-    return kept.select(*docs.columns)
+    return toxicity.keep_clean(docs, chain)
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
