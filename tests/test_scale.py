@@ -106,14 +106,14 @@ def test_purchases_bucketed_by_member_are_not_shuffled(spark, stored, tmp_path):
 
 
 def test_no_window_gathers_a_group(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry._retail_queries().items():
         plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "Window" not in plan, name
         assert "collect_" not in plan, name
 
 
 def test_python_only_where_it_is_needed(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry._retail_queries().items():
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         has_python = "ArrowEvalPython" in plan or "MapInPandas" in plan
         assert has_python == (name in PYTHON_QUERIES), name
@@ -121,7 +121,7 @@ def test_python_only_where_it_is_needed(spark):
 
 
 def test_no_cross_join(spark):
-    for name, query in entry.queries().items():
+    for name, query in entry._retail_queries().items():
         plan = query(spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
