@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -90,29 +89,49 @@ def words_of(text: str | None) -> set[str]:
     return words | beginnings
 
 
-def telling_words(sets: list[set[str]], y: np.ndarray, spec: ChainSpec) -> list[str]:
-    """Words whose share of texts differs most between the classes, measured in standard errors."""
-    with_, without = Counter(), Counter()
-    for words, label in zip(sets, y, strict=True):
-        (with_ if label else without).update(words)
+class Vocabulary:
+    """Words as numbers: the sets of ten thousand texts as strings would fill a worker's memory."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = {}
+
+    def encode(self, words: set[str]) -> np.ndarray:
+        numbers = self.numbers
+        return np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int32)
+
+    def names(self) -> np.ndarray:
+        return np.array(list(self.numbers), object)
+
+
+def telling_words(rows: list[np.ndarray], y: np.ndarray, names: np.ndarray, spec: ChainSpec) -> np.ndarray:
+    """Words whose share of texts differs most between the classes, measured in standard errors; ties by name."""
+
+    def texts_with(label: bool) -> np.ndarray:
+        own = [r for r, mark in zip(rows, y, strict=True) if bool(mark) == label]
+        return np.bincount(np.concatenate([np.zeros(0, np.int32), *own]), minlength=len(names)).astype(float)
+
+    a, b = texts_with(True), texts_with(False)
     n1, n0 = max(1.0, y.sum()), max(1.0, len(y) - y.sum())
-    names = [w for w in with_.keys() | without.keys() if with_[w] + without[w] >= spec.min_docs]
-    a = np.array([with_[w] for w in names], float)
-    b = np.array([without[w] for w in names], float)
+    some = np.flatnonzero(a + b >= spec.min_docs)
+    a, b = a[some], b[some]
     p = (a + b + 1) / (n1 + n0 + 2)
     z = np.abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    best = sorted(range(len(names)), key=lambda i: (-z[i], names[i]))[: spec.features]
-    return [names[i] for i in best]
-
-
-def fit_linear(sets: list[set[str]], before: np.ndarray, y: np.ndarray, spec: ChainSpec) -> LinearModel:
-    """Accelerated proximal gradient steps on the sparse rows; the intercept is not penalized."""
-    names = telling_words(sets, y, spec)
-    place = {w: i for i, w in enumerate(names)}
-    rows = [np.array(sorted(place[w] for w in words & place.keys()), np.int64) for words in sets]
+    by_name = np.argsort(names[some], kind="stable")
+    best = by_name[np.argsort(-z[by_name], kind="stable")]
+    return some[best[: spec.features]]
+
+
+def fit_linear(
+    sets: list[np.ndarray], before: np.ndarray, y: np.ndarray, names: np.ndarray, spec: ChainSpec
+) -> tuple[LinearModel, np.ndarray]:
+    """The model, and its weights by word number. Accelerated proximal gradient steps on the sparse rows; the intercept is not penalized."""
+    chosen = telling_words(sets, y, names, spec)
+    place = np.full(len(names), -1, np.int32)
+    place[chosen] = np.arange(len(chosen))
+    rows = [np.sort(of[of >= 0]) for of in (place[s] for s in sets)]
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    column = np.concatenate([np.zeros(0, np.int64), *rows])
-    n, d, e = len(rows), len(names), before.shape[1]
+    column = np.concatenate([np.zeros(0, np.int32), *rows])
+    n, d, e = len(rows), len(chosen), before.shape[1]
     # Columns are centred, which keeps frequent words from slowing the steps down.
     mean = np.concatenate((np.bincount(column, minlength=d) / n, before.mean(axis=0)))
 
@@ -136,8 +155,10 @@ def fit_linear(sets: list[set[str]], before: np.ndarray, y: np.ndarray, spec: Ch
         new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * spec.penalty, 0)
         t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
         look, w = new + (last - 1) / t * (new - w), new
-    weights = {name: float(x) for name, x in zip(names, w[:d], strict=True) if x}
-    return LinearModel(float(w[-1] - mean @ w[:-1]), weights, tuple(map(float, w[d : d + e])))
+    weights = {name: float(x) for name, x in zip(names[chosen], w[:d], strict=True) if x}
+    by_number = np.zeros(len(names))
+    by_number[chosen] = w[:d]
+    return LinearModel(float(w[-1] - mean @ w[:-1]), weights, tuple(map(float, w[d : d + e]))), by_number
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -152,17 +173,20 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[at] + below[at]) / 2)
 
 
-def train(sets: list[set[str]], labels: np.ndarray, folds: np.ndarray, spec: ChainSpec) -> Chain:
-    """labels: one column per category."""
+def train(sets: list[np.ndarray], names: np.ndarray, labels: np.ndarray, folds: np.ndarray, spec: ChainSpec) -> Chain:
+    """sets: the numbers of each text's words; names: the words; labels: one column per category."""
     models, before = [], np.zeros((len(sets), 0))
     for category in range(labels.shape[1]):
         y = labels[:, category]
-        models.append(fit_linear(sets, before, y, spec))
+        models.append(fit_linear(sets, before, y, names, spec)[0])
         held = np.zeros(len(sets))
         for fold in np.unique(folds):
             rest, own = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
-            model = fit_linear([sets[i] for i in rest], before[rest], y[rest], spec) if len(rest) else models[-1]
-            held[own] = [model.probability(sets[i], before[i].tolist()) for i in own]
+            if not len(rest):
+                rest = own
+            model, weights = fit_linear([sets[i] for i in rest], before[rest], y[rest], names, spec)
+            z = model.intercept + np.array([weights[sets[i]].sum() for i in own]) + before[own] @ np.array(model.earlier)
+            held[own] = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
         before = np.column_stack((before, held))
     return Chain(tuple(models), best_threshold(before[:, -1], labels[:, -1]))
 
@@ -187,14 +211,14 @@ def fit_chain(docs: DataFrame, labels: DataFrame, spec: ChainSpec) -> Chain:
     names = [f"is_{name}" for name in spec.categories]
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets, marks, folds = [], [], []
+        sets, marks, folds, vocabulary = [], [], [], Vocabulary()
         for batch in batches:
-            sets.extend(words_of(t) for t in batch.column("text").to_pylist())
+            sets.extend(vocabulary.encode(words_of(t.as_py())) for t in batch.column("text"))
             marks.append(np.column_stack([batch.column(n).to_numpy() for n in names]))
             folds.append(batch.column("fold").to_numpy())
         if not sets:
             return
-        chain = train(sets, np.concatenate(marks), np.concatenate(folds), spec)
+        chain = train(sets, vocabulary.names(), np.concatenate(marks), np.concatenate(folds), spec)
         told = {
             "threshold": chain.threshold,
             "models": [[m.intercept, m.weights, m.earlier] for m in chain.models],
