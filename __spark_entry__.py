@@ -21,6 +21,7 @@ from storewright.config import LabelSpec, StockConfig
 from storewright.functions import periods, rates, text
 from storewright.operators import catalog, conversion, reports, rollups, sessions
 from storewright.operators import stock as stock_ops
+from storewright.operators.label_log import LabelLog
 from storewright.session import shared_folder
 from storewright.sources import readers, writers
 from storewright.standins import BOT, CONFIG, TOPIC_RULES, oracle_tables
@@ -141,6 +142,16 @@ def _classified_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.classify(_texts(spark, sf_dir), factory, SPEC)
 
 
+def _labelled_in_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that ends after one round, and one that takes up where it ended."""
+    texts, path = _texts(spark, sf_dir), shared_folder(spark)
+    factory = _rule_classifier(*SPEC.prompt_parts(), TOPIC_RULES)
+    log = LabelLog(spark, f"{path}/log")
+    log.complete(texts, factory, SPEC, f"{path}/first", texts_per_round=200, max_rounds=1)
+    log.complete(texts, factory, SPEC, f"{path}/rest")
+    return sessions.attach_labels(texts, sessions.parse_answers(log.latest(), SPEC), SPEC)
+
+
 def _parsed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.parse_answers(standins.answer(spark, sf_dir), SPEC)
 
@@ -241,6 +252,8 @@ def _retail_queries() -> dict[str, Query]:
         "parsed_labels": _parsed_labels,
         "keyword_labels": _keyword_labels,
         "classified_sessions": _classified_sessions,
+        "labelled_in_rounds": _labelled_in_rounds,
+        "label_failures": lambda s, d: sessions.failure_counts(_classified_sessions(s, d)),
         "category_frequency": lambda s, d: _rounded(sessions.category_frequency(_keyword_labels(s, d))),
         "top_categories": lambda s, d: _rounded(sessions.category_frequency(_keyword_labels(s, d), k=2)),
         # gift stock
@@ -351,10 +364,14 @@ def _conversion_sql(select: str) -> str:
     return f"WITH {tables}, detail AS ({_DETAIL}), rated AS ({_RATED}) {select}"
 
 
+# The patterns of the SQL are written out, apart from those of the library.
+_FENCE = "(?s)```(?:json)?(.*?)```"
+_HEADER = "[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+_LINK = '<a href="([^"]*)">([^<]*)</a>'
 _CLEAN = "array_to_string(list_filter(string_split(transcript, chr(10)), lambda x: {keep}), chr(10))"
 _LINES = _CLEAN.format(keep=f"NOT starts_with(x, '{BOT}')")
 _STRIPPED = _CLEAN.format(
-    keep=f"NOT starts_with(x, '{BOT}') AND NOT regexp_matches(x, '{text.HEADER_LINE}')"
+    keep=f"NOT starts_with(x, '{BOT}') AND NOT regexp_matches(x, '{_HEADER}')"
 )
 
 
@@ -372,6 +389,12 @@ _KEYWORDS = f"""
     SELECT session_id, CASE WHEN topic IS NULL THEN '0' ELSE '1' END AS is_service,
            coalesce(topic, '{SPEC.other}') AS category, 'ok' AS label_status
     FROM (SELECT session_id, {_TOPIC} AS topic FROM texts)"""
+_CLASSIFIED = f"""
+    SELECT session_id, CASE WHEN topic IS NULL THEN '{SPEC.failed_is_service}' ELSE '1' END AS is_service,
+           coalesce(topic, '{SPEC.failed_category}') AS category,
+           CASE WHEN topic IS NULL THEN 'failed' ELSE 'ok' END AS label_status,
+           CASE WHEN text IS NULL THEN 'no text' WHEN topic IS NULL THEN 'ValueError: no topic' END AS failure
+    FROM (SELECT session_id, text, {_TOPIC} AS topic FROM texts)"""
 _FREQUENCY = f"""
     SELECT category, count(*) AS sessions,
            round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM texts), 9) AS share
@@ -397,9 +420,9 @@ _REAL = f"SELECT page_no, title FROM product WHERE stock_mode = '{STOCK.real_sto
 _LISTED = f"AND title IN (SELECT title FROM ({_REAL}))"
 _LINKS = f"""
     SELECT page_id, CAST(position - 1 AS INTEGER) AS position,
-           regexp_extract(match, '{catalog.ANCHOR}', 1) AS href, regexp_extract(match, '{catalog.ANCHOR}', 2) AS name
+           regexp_extract(match, '{_LINK}', 1) AS href, regexp_extract(match, '{_LINK}', 2) AS name
     FROM (SELECT page_id, unnest(found) AS match, generate_subscripts(found, 1) AS position
-          FROM (SELECT page_id, regexp_extract_all(html, '{catalog.ANCHOR}') AS found FROM pages))"""
+          FROM (SELECT page_id, regexp_extract_all(html, '{_LINK}') AS found FROM pages))"""
 _DAYS = "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)"
 
 
@@ -487,24 +510,28 @@ def _retail_sql() -> dict[str, str]:
         "parsed_labels": f"""
             WITH {oracle_tables('answer')},
             stripped AS (SELECT doc_id, ltrim(answer, chr(10)) AS a FROM answer),
-            bodies AS (SELECT doc_id, coalesce(nullif(regexp_extract(a, '{sessions.FENCED_JSON}', 1), ''), a) AS body
-                       FROM stripped),
-            checked AS (SELECT doc_id, body, CASE WHEN json_valid(body)
-                          THEN json_exists(body, '$.is_service') AND json_exists(body, '$.category')
-                          ELSE FALSE END AS ok FROM bodies)
-            SELECT doc_id,
-                   CASE WHEN ok THEN json_extract_string(body, '$.is_service')
-                        ELSE '{SPEC.failed_is_service}' END AS is_service,
-                   CASE WHEN ok THEN json_extract_string(body, '$.category')
-                        ELSE '{SPEC.failed_category}' END AS category,
-                   CASE WHEN ok THEN 'ok' ELSE 'failed' END AS label_status
-            FROM checked""",
+            bodies AS (SELECT doc_id, coalesce(nullif(regexp_extract(a, '{_FENCE}', 1), ''), a) AS body FROM stripped),
+            objects AS (SELECT doc_id, body FROM bodies
+                        WHERE CASE WHEN json_valid(body) THEN json_type(body) END = 'OBJECT'),
+            pairs AS (SELECT doc_id, j.key, j.id, j.value ->> '$' AS value FROM objects, json_each(body) j),
+            lasts AS (SELECT doc_id, key, last(value ORDER BY id) AS value FROM pairs
+                      WHERE key IN ('is_service', 'category') GROUP BY doc_id, key),
+            named AS (SELECT doc_id, max(value) FILTER (WHERE key = 'is_service') AS is_service,
+                             max(value) FILTER (WHERE key = 'category') AS category, count(*) = 2 AS ok
+                      FROM lasts GROUP BY doc_id)
+            SELECT b.doc_id,
+                   CASE WHEN n.ok THEN n.is_service ELSE '{SPEC.failed_is_service}' END AS is_service,
+                   CASE WHEN n.ok THEN n.category ELSE '{SPEC.failed_category}' END AS category,
+                   CASE WHEN n.ok THEN 'ok' ELSE 'failed' END AS label_status,
+                   CASE WHEN b.body IS NULL THEN 'no answer' WHEN o.doc_id IS NULL THEN 'not one JSON object'
+                        WHEN n.ok THEN NULL ELSE 'missing key' END AS failure
+            FROM bodies b LEFT JOIN objects o USING (doc_id) LEFT JOIN named n USING (doc_id)""",
         "keyword_labels": _texts_sql(_KEYWORDS),
-        "classified_sessions": _texts_sql(f"""
-            SELECT session_id, CASE WHEN topic IS NULL THEN '{SPEC.failed_is_service}' ELSE '1' END AS is_service,
-                   coalesce(topic, '{SPEC.failed_category}') AS category,
-                   CASE WHEN topic IS NULL THEN 'failed' ELSE 'ok' END AS label_status
-            FROM (SELECT session_id, {_TOPIC} AS topic FROM texts)"""),
+        "classified_sessions": _texts_sql(_CLASSIFIED),
+        "labelled_in_rounds": _texts_sql(_CLASSIFIED),
+        "label_failures": _texts_sql(
+            f"SELECT failure, count(*) AS sessions FROM ({_CLASSIFIED}) WHERE label_status = 'failed' GROUP BY failure"
+        ),
         "category_frequency": _texts_sql(_FREQUENCY),
         "top_categories": _texts_sql(f"{_FREQUENCY} ORDER BY sessions DESC, category LIMIT 2"),
         "stock_mismatch": _stock_sql("SELECT * FROM mismatch"),

@@ -26,7 +26,10 @@ Classifier = Callable[[list[str]], list[str]]
 ClassifierFactory = Callable[[], Classifier]
 
 FENCED_JSON = r"(?s)```(?:json)?(.*?)```"
-WHOLE_OBJECT = r"(?s)^\s*\{.*\}\s*$"
+# Closes the array in which an answer is parsed; no answer holds this key by chance.
+END_MARK = "end of this answer"
+ANSWERED = "text_hash binary, answer string, failure string"
+FAILURE_CHARS = 500  # of an error message
 
 
 def bot_sessions(session: DataFrame, bot: str) -> DataFrame:
@@ -52,36 +55,49 @@ def build_prompt(text: Column, spec: LabelSpec) -> Column:
 
 
 def parse_answers(answers: DataFrame, spec: LabelSpec) -> DataFrame:
-    """Replace the column ``answer`` by is_service, category and label_status.
+    """Replace the column ``answer`` by is_service, category, label_status and failure.
 
-    An answer is a JSON object with both keys, bare or in a code fence. An
-    absent answer, bad JSON or a missing key gives the fallback pair and the
-    status 'failed'. Each step is a column of its own, so that Spark parses an
-    answer once.
+    An answer is one JSON object with both keys, bare or in a code fence, and
+    nothing behind it; of a repeated key the last value counts. Anything else gives
+    the fallback pair, the status 'failed' and the reason; a column ``failure`` of
+    the input says why there is no answer. Each step is a column of its own, so
+    that Spark parses an answer once.
     """
     stripped = strip_leading_newlines(F.col("answer"))
     fenced = F.nullif(F.regexp_extract(stripped, FENCED_JSON, 1), F.lit(""))
-    # A map keeps "key is missing" and "key is null" apart. The parser would
-    # ignore text after the object, hence the check of its end.
-    body = F.col("body")
-    parsed = F.when(
-        body.rlike(WHOLE_OBJECT), F.from_json(body, "map<string,string>", {"allowSingleQuotes": "false"})
-    )
-    complete = F.map_contains_key("parsed", "is_service") & F.map_contains_key("parsed", "category")
+    # The parser stops behind a value and ignores what follows. As an element of an
+    # array with a known last element, an answer cannot have anything behind it.
+    # A map keeps "key is missing" and "key is null" apart, and repeated keys.
+    wrapped = F.concat(F.lit("["), F.col("body"), F.lit(f', {{"{END_MARK}": ""}}]'))
+    parsed = F.from_json(wrapped, "array<map<string,string>>", {"allowSingleQuotes": "false"})
+    alone = (F.size("parsed") == 2) & F.map_contains_key(F.try_element_at("parsed", F.lit(2)), END_MARK)
 
-    def label(key: str, fallback: str) -> Column:
-        return F.when(F.col("complete"), F.try_element_at("parsed", F.lit(key))).otherwise(fallback)
+    def given(key: str) -> Column:
+        return F.filter("entries", lambda e: e["key"] == key)
 
-    kept = [c for c in answers.columns if c != "answer"]
+    def label(key: str, fallback: str) -> Column:
+        value = F.try_element_at(given(key), F.lit(-1))["value"]
+        return F.when(F.col("complete"), value).otherwise(fallback)
+
+    kept = [c for c in answers.columns if c not in ("answer", "failure")]
+    told = F.col("failure") if "failure" in answers.columns else F.lit(None).cast("string")
+    complete = (F.size(given("is_service")) > 0) & (F.size(given("category")) > 0)
+    reason = (
+        F.when(F.col("answer").isNull(), F.coalesce(told, F.lit("no answer")))
+        .when(F.col("entries").isNull(), "not one JSON object")
+        .when(~F.col("complete"), "missing key")
+    )
     return (
         answers.withColumn("body", F.coalesce(fenced, stripped))
         .withColumn("parsed", parsed)
+        .withColumn("entries", F.when(alone, F.map_entries(F.try_element_at("parsed", F.lit(1)))))
         .withColumn("complete", F.coalesce(complete, F.lit(False)))
         .select(
             *kept,
             label("is_service", spec.failed_is_service).alias("is_service"),
             label("category", spec.failed_category).alias("category"),
             F.when(F.col("complete"), "ok").otherwise("failed").alias("label_status"),
+            reason.alias("failure"),
         )
     )
 
@@ -97,71 +113,88 @@ def _occurs(text: Column, pattern: str) -> Column:
 def keyword_labels(texts: DataFrame, rules: dict[str, str], spec: LabelSpec) -> DataFrame:
     """Offline labels without a classifier: the first topic whose pattern occurs in the text.
 
-    ``rules`` maps topic -> regular expression and is tried in order. Column
+    ``rules`` maps topic -> regular expression and is tried in order; a session
+    without a text gets the fallback pair, as from a classifier. Column
     expressions only, so no deduplication and no shuffle is needed.
     """
     topic = F.lit(None).cast("string")
     for name, pattern in reversed(list(rules.items())):
         topic = F.when(_occurs(F.col("text"), pattern), name).otherwise(topic)
-    status = F.when(F.col("text").isNotNull(), "ok").otherwise("failed")
-    return texts.select("session_id", topic.alias("topic"), status.alias("label_status")).select(
+    told = F.col("told")
+    return texts.select("session_id", topic.alias("topic"), F.col("text").isNotNull().alias("told")).select(
         "session_id",
-        F.when(F.col("topic").isNotNull(), "1").otherwise("0").alias("is_service"),
-        F.coalesce("topic", F.lit(spec.other)).alias("category"),
-        "label_status",
+        F.when(~told, spec.failed_is_service).when(F.col("topic").isNotNull(), "1").otherwise("0").alias("is_service"),
+        F.when(~told, spec.failed_category).otherwise(F.coalesce("topic", F.lit(spec.other))).alias("category"),
+        F.when(told, "ok").otherwise("failed").alias("label_status"),
     )
 
 
-def text_labels(
-    texts: DataFrame,
-    classifier_factory: ClassifierFactory,
-    spec: LabelSpec,
-    max_parallel: int | None = None,
-    batch_size: int = 1,
-) -> DataFrame:
-    """Labels per distinct text: (text_hash, is_service, category, label_status).
-
-    Each distinct text is sent once, also when a call fails: the prompts of a
-    failed call get no answer. The classifier gets ``batch_size`` prompts a call
-    and may return None for some of them. The stage is bound by calls and not by
-    bytes, so it has an explicit number of tasks: ``max_parallel``, which caps the
-    concurrent callers, or as many as there are shuffle partitions.
-    """
-    prompts = (
-        texts.select("text")
+def distinct_prompts(texts: DataFrame, spec: LabelSpec) -> DataFrame:
+    """(text_hash, prompt) of each distinct text; whole texts are shuffled here and nowhere else."""
+    return (
+        texts.filter(F.col("text").isNotNull())
+        .select("text")
         .distinct()
         .select(text_hash(F.col("text")).alias("text_hash"), build_prompt(F.col("text"), spec).alias("prompt"))
     )
-    tasks = max_parallel or int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    prompts = prompts.repartition(tasks, "text_hash")
+
+
+def ask_classifier(
+    prompts: DataFrame, classifier_factory: ClassifierFactory, tasks: int, batch_size: int = 1
+) -> DataFrame:
+    """(text_hash, answer, failure) per prompt; exactly one of the two is NULL.
+
+    Each prompt is sent once, also when a call fails. The classifier gets
+    ``batch_size`` prompts a call and may return None for some of them. The stage
+    is bound by calls and not by bytes, so it has an explicit number of tasks.
+    """
 
     def answers(classifier, asked):
-        # One answer or None per prompt; what was asked is not asked again.
+        # One answer or a reason per prompt; what was asked is not asked again.
         out = []
         for i in range(0, len(asked), batch_size):
             some = asked[i : i + batch_size]
             try:
-                given = list(classifier(some))
-            except Exception:
-                given = []
-            whole = len(given) == len(some)
-            out.extend(a if isinstance(a, str) else None for a in (given if whole else [None] * len(some)))
+                given, failure = list(classifier(some)), "no answer"
+            except Exception as error:
+                given, failure = [None] * len(some), f"{type(error).__name__}: {error}"[:FAILURE_CHARS]
+            if len(given) != len(some):
+                failure = f"{len(given)} answers to {len(some)} prompts"
+                given = [None] * len(some)
+            out.extend((a, None) if isinstance(a, str) else (None, failure) for a in given)
         return out
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classifier = classifier_factory()
         for batch in batches:
-            # Here and not in the plan, where the filter would clean every text once more.
-            batch = batch[batch["prompt"].notnull()]
             given = answers(classifier, batch["prompt"].tolist())
-            yield batch[["text_hash"]].assign(answer=given)
+            yield batch[["text_hash"]].assign(answer=[a for a, _ in given], failure=[f for _, f in given])
+
+    return prompts.repartition(tasks, "text_hash").mapInPandas(ask, ANSWERED)
 
-    answered = prompts.mapInPandas(ask, "text_hash binary, answer string")
-    return parse_answers(answered, spec)
+
+def _tasks(df: DataFrame, max_parallel: int | None) -> int:
+    return max_parallel or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def text_labels(
+    texts: DataFrame,
+    classifier_factory: ClassifierFactory,
+    spec: LabelSpec,
+    max_parallel: int | None = None,
+    batch_size: int = 1,
+) -> DataFrame:
+    """Labels per distinct text: (text_hash, is_service, category, label_status, failure).
+
+    ``max_parallel`` caps the concurrent callers; without it there are as many
+    as shuffle partitions.
+    """
+    tasks = _tasks(texts, max_parallel)
+    return parse_answers(ask_classifier(distinct_prompts(texts, spec), classifier_factory, tasks, batch_size), spec)
 
 
 def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec) -> DataFrame:
-    """Labels per session: (session_id, is_service, category, label_status).
+    """Labels per session: (session_id, is_service, category, label_status, failure).
 
     A text copied into a third of all sessions makes one hot hash. Both sides
     are narrow here and nothing is computed on the hash afterwards, so AQE can
@@ -177,6 +210,7 @@ def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec) -> DataF
         .otherwise(F.col("category"))
         .alias("category"),
         F.coalesce("label_status", F.lit("failed")).alias("label_status"),
+        F.when(F.col("label_status").isNull(), "no text").otherwise(F.col("failure")).alias("failure"),
     )
 
 
@@ -188,13 +222,18 @@ def classify(
 ) -> DataFrame:
     """`text_labels` and `attach_labels` in one plan.
 
-    With a paid classifier prefer the job in ``plans.session_labels``: it writes
-    the labels per text before it uses them, so a lost executor costs no
-    repeated calls.
+    With a paid classifier prefer the job in ``plans.session_labels``: it keeps
+    answers in a log, so neither a lost executor nor a killed job costs the calls
+    of finished rounds again.
     """
     return attach_labels(texts, text_labels(texts, classifier_factory, spec, max_parallel), spec)
 
 
+def failure_counts(labels: DataFrame) -> DataFrame:
+    """Sessions without a label per reason."""
+    return labels.filter(F.col("label_status") == "failed").groupBy("failure").agg(F.count("*").alias("sessions"))
+
+
 def category_frequency(labels: DataFrame, k: int | None = None) -> DataFrame:
     """Sessions per category and their share of all sessions; with ``k`` the most frequent ones."""
     counts = labels.groupBy("category").agg(F.count("*").alias("sessions"))

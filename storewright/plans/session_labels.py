@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storewright.config import LabelSpec
 from storewright.operators import sessions as ops
+from storewright.operators.label_log import LabelLog
 from storewright.sources.writers import write_table
 
 
@@ -18,14 +19,31 @@ def run(
     spec: LabelSpec | None = None,
     mode: str = "lines",
     max_parallel: int | None = None,
+    texts_per_round: int = 100_000,
+    retry_failed: bool = False,
+    max_rounds: int | None = None,
 ) -> dict[str, str]:
-    """Write ``text_labels``, ``labels`` and ``category_frequency`` below ``out``."""
+    """Write ``text_labels``, ``labels``, ``failures`` and ``category_frequency`` below ``out``.
+
+    Answers are kept in ``label_log`` below ``out`` and survive the run: another
+    run over the same or more sessions asks only for texts that have no row there,
+    or with ``retry_failed`` no answer. After ``max_rounds`` rounds the tables are
+    written from what the log has; sessions still to be asked count as failed.
+    """
     spec = spec or LabelSpec()
-    paths = {name: f"{out}/{name}" for name in ("text_labels", "labels", "category_frequency")}
+    names = ("label_log", "text_labels", "labels", "failures", "category_frequency")
+    paths = {name: f"{out}/{name}" for name in names}
     texts = ops.cleaned_sessions(session, bot, mode)
-    write_table(ops.text_labels(texts, classifier_factory, spec, max_parallel), paths["text_labels"])
+    log = LabelLog(spark, paths["label_log"])
+    log.complete(
+        texts, classifier_factory, spec, f"{out}/pending", texts_per_round, max_parallel,
+        retry_failed=retry_failed, max_rounds=max_rounds,
+    )
+    write_table(ops.parse_answers(log.latest(), spec), paths["text_labels"])
 
     stored = spark.read.parquet(paths["text_labels"])
     write_table(ops.attach_labels(texts, stored, spec), paths["labels"])
-    write_table(ops.category_frequency(spark.read.parquet(paths["labels"])), paths["category_frequency"])
+    labels = spark.read.parquet(paths["labels"])
+    write_table(ops.failure_counts(labels), paths["failures"])
+    write_table(ops.category_frequency(labels), paths["category_frequency"])
     return paths

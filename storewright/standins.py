@@ -180,9 +180,9 @@ def session(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A raw classifier answer per document, in the seven forms the parser has to tell apart."""
+    """A raw classifier answer per document, in the nine forms the parser has to tell apart."""
     quality = F.coalesce(F.col("quality").cast("string"), F.lit("0"))
-    key = F.col("doc_id") % 7
+    key = F.col("doc_id") % 9
     pair = F.format_string('{"is_service": "%s", "category": "%s"}', quality, F.col("source"))
     number = F.format_string('{"is_service": %s, "category": "%s"}', quality, F.col("source"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -195,6 +195,9 @@ def answer(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key == 3, F.format_string('{"category": "%s"}', F.col("source")))
         .when(key == 4, F.concat(F.lit("no json: "), F.col("source")))
         .when(key == 5, F.format_string('{"is_service": "%s", "category": null}', quality))
+        .when(key == 7, F.concat(pair, F.lit(' or {"is_service": "1", "category": "x"}')))
+        .when(key == 8, F.format_string('{"category": "first", "is_service": "x", "category": "%s", "is_service": %s}',
+                                        F.col("source"), quality))
         .alias("answer"),
     )
 
@@ -247,13 +250,16 @@ ORACLE = {
                || r.role || ' 2024-01-01 10:00:00' || chr(10) || r.text AS transcript
         FROM conversations u LEFT JOIN conversations r ON r.conv_id = u.conv_id AND r.turn = u.turn + 1""",
     "answer": """
-        SELECT doc_id, CASE doc_id % 7
+        SELECT doc_id, CASE doc_id % 9
             WHEN 0 THEN chr(10) || chr(10) || '```json' || chr(10) || pair || chr(10) || '```'
             WHEN 1 THEN number
             WHEN 2 THEN 'Here you are: ```' || number || '```'
             WHEN 3 THEN '{"category": "' || source || '"}'
             WHEN 4 THEN 'no json: ' || source
-            WHEN 5 THEN '{"is_service": "' || quality || '", "category": null}' END AS answer
+            WHEN 5 THEN '{"is_service": "' || quality || '", "category": null}'
+            WHEN 7 THEN pair || ' or {"is_service": "1", "category": "x"}'
+            WHEN 8 THEN '{"category": "first", "is_service": "x", "category": "' || source
+                        || '", "is_service": ' || quality || '}' END AS answer
         FROM (SELECT doc_id, source, quality,
                      '{"is_service": "' || quality || '", "category": "' || source || '"}' AS pair,
                      '{"is_service": ' || quality || ', "category": "' || source || '"}' AS number

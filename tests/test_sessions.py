@@ -9,6 +9,7 @@ from storewright import fixed_values as fixed
 from storewright import schemas
 from storewright.config import LabelSpec
 from storewright.operators import sessions as ops
+from storewright.operators.label_log import LabelLog
 
 SPEC = LabelSpec()
 FAILED = (fixed.FAILED_IS_SERVICE, fixed.FAILED_CATEGORY, "failed")
@@ -46,7 +47,7 @@ def test_only_bot_sessions_with_text(spark):
 )
 def test_parse_answers(spark, answer, labels):
     df = spark.createDataFrame([(7, answer)], "id int, answer string")
-    assert tuple(ops.parse_answers(df, SPEC).first()) == (7, *labels)
+    assert tuple(ops.parse_answers(df, SPEC).first())[:4] == (7, *labels)
 
 
 def test_prompt_holds_instructions_and_text(spark):
@@ -65,7 +66,7 @@ def test_keyword_labels_take_the_first_rule(spark):
         "a": ("1", "repair", "ok"),
         "b": ("1", "coupon", "ok"),
         "c": ("0", fixed.OTHER_CATEGORY, "ok"),
-        "d": ("0", fixed.OTHER_CATEGORY, "failed"),
+        "d": FAILED,
     }
 
 
@@ -155,3 +156,116 @@ def test_category_frequency(spark):
     assert got == [("a", 2, 0.666667), ("b", 1, 0.333333)]
     assert [r.category for r in ops.category_frequency(labels, k=1).collect()] == ["a"]
     assert ops.category_frequency(labels).count() == 2
+
+
+def parsed(spark, answers):
+    df = spark.createDataFrame(list(enumerate(answers)), "n int, answer string")
+    return [(r.is_service, r.category, r.failure) for r in sorted(ops.parse_answers(df, SPEC).collect())]
+
+
+@pytest.mark.parametrize(
+    "behind", [" junk", ' {"a": 1}', ', {"is_service": "1", "category": "y"}', "]", "], [{}", "}", " }", ",", " //", "\nok"]
+)
+def test_nothing_may_stand_behind_the_object(spark, behind):
+    body = '{"is_service": "1", "category": "x"}'
+    fallback = (SPEC.failed_is_service, SPEC.failed_category, "not one JSON object")
+    got = parsed(spark, [body + behind, f"```json\n{body}{behind}\n```", body + " \n\t ", f" {body}"])
+    assert got == [fallback, fallback, ("1", "x", None), ("1", "x", None)]
+
+
+def test_of_repeated_keys_the_last_counts(spark):
+    got = parsed(
+        spark,
+        [
+            '{"category": "a", "is_service": "0", "category": "b", "is_service": "1"}',
+            '{"category": "a", "is_service": 1, "category": null}',
+            '{"is_service": true, "category": {"category": "in", "is_service": 5}}',
+            '{"category": {"is_service": 5}}',
+        ],
+    )
+    assert got[0] == ("1", "b", None) and got[1] == ("1", None, None)
+    assert got[2][0] == "true" and json.loads(got[2][1]) == {"category": "in", "is_service": 5}
+    assert got[3][2] == "missing key"
+
+
+def test_reasons_of_failures(spark):
+    bodies = [None, "", "[]", "null", "1", '"x"', "{}", "{'is_service': '1', 'category': 'x'}", '{"is_service": "1"}']
+    reasons = [r for _, _, r in parsed(spark, bodies)]
+    assert reasons == ["no answer", *["not one JSON object"] * 5, "missing key", "not one JSON object", "missing key"]
+
+    def factory():
+        def answer(prompts):
+            if "bad" in prompts[0]:
+                raise TimeoutError("late")
+            return [None] if "mute" in prompts[0] else ["{}", "{}"] if "many" in prompts[0] else ["[]"]
+
+        return answer
+
+    rows = [("a", "bad"), ("b", "mute"), ("c", "many"), ("d", "x"), ("e", None)]
+    labels = ops.classify(texts_of(spark, rows), factory, SPEC)
+    assert {r.session_id: r.failure for r in labels.collect()} == {
+        "a": "TimeoutError: late", "b": "no answer", "c": "2 answers to 1 prompts", "d": "not one JSON object", "e": "no text",
+    }
+    counts = {r.failure: r.sessions for r in ops.failure_counts(labels).collect()}
+    assert len(counts) == 5 and set(counts.values()) == {1}
+
+
+def counting_factory(log, fails=(), dies=()):
+    """Logs every prompt it is asked; fails on some texts, and kills the job on others."""
+    head, tail = SPEC.prompt_parts()
+
+    def factory():
+        def answer(prompts):
+            asked = prompts[0][len(head) : len(prompts[0]) - len(tail)]
+            if asked in dies:
+                raise KeyboardInterrupt
+            with open(log, "a") as f:
+                f.write(asked + "\n")
+            if asked in fails:
+                raise RuntimeError("refused")
+            return [json.dumps({"is_service": 1, "category": asked})]
+
+        return answer
+
+    return factory
+
+
+def calls(log):
+    return log.read_text().split() if log.exists() else []
+
+
+def test_a_killed_job_pays_for_no_text_twice(spark, tmp_path):
+    log, texts = tmp_path / "calls", texts_of(spark, [(f"s{i}", f"t{i % 40}") for i in range(120)])
+    path = str(tmp_path / "log")
+
+    def run(**options):
+        label_log = LabelLog(spark, path)
+        left = label_log.complete(texts, pending_path=str(tmp_path / "todo"), spec=SPEC, texts_per_round=8, **options)
+        return label_log, left
+
+    with pytest.raises(Exception):
+        run(classifier_factory=counting_factory(str(log), fails={"t3"}, dies={"t7"}), max_parallel=1)
+    before = LabelLog(spark, path).rows().count()
+    done = {bytes(r.text_hash) for r in LabelLog(spark, path).rows().collect()}
+    assert before < 40
+    lost = len(calls(log)) - before  # of the round that died
+    log.unlink(missing_ok=True)
+    label_log, left = run(classifier_factory=counting_factory(str(log), fails={"t3"}), max_parallel=2)
+    assert left == 0 and lost <= 8
+    assert len(calls(log)) == 40 - before == len(set(calls(log)))
+    assert done <= {bytes(r.text_hash) for r in label_log.rows().collect()} and label_log.rows().count() == 40
+    log.unlink()
+    assert run(classifier_factory=counting_factory(str(log)))[1] == 0 and calls(log) == []
+    label_log, _ = run(classifier_factory=counting_factory(str(log)), retry_failed=True)
+    assert calls(log) == ["t3"]
+    labels = labelled(ops.attach_labels(texts, ops.parse_answers(label_log.latest(), SPEC), SPEC))
+    assert labels == {f"s{i}": ("1", f"t{i % 40}", "ok") for i in range(120)}
+
+
+def test_rounds_are_bounded_and_can_be_budgeted(spark, tmp_path):
+    log, texts = tmp_path / "calls", texts_of(spark, [(f"s{i}", f"t{i}") for i in range(100)] + [("n", None)])
+    label_log = LabelLog(spark, str(tmp_path / "log"))
+    args = (texts, counting_factory(str(log)), SPEC, str(tmp_path / "todo"))
+    left = label_log.complete(*args, texts_per_round=10, max_rounds=3)
+    assert left == 7 and 10 <= len(calls(log)) < 60 and label_log.rows().count() == len(calls(log))
+    assert label_log.complete(*args, texts_per_round=1000) == 0 and sorted(calls(log)) == sorted({f"t{i}" for i in range(100)})
