@@ -185,15 +185,46 @@ def _report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stock_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stock as exports with the source's headers, one folder per product."""
+    """Stock as exports with the source's whole header, one folder per product."""
     path = shared_folder(spark)
     headers = {ours: theirs for theirs, ours in fixed.STOCK_COLUMNS.items()}
-    stock = standins.stock(spark, sf_dir).select(*headers, "title").withColumnsRenamed(headers)
+    unused = [F.col("store_stock").alias(name) for name in fixed.UNUSED_STOCK_COLUMNS]
+    stock = standins.stock(spark, sf_dir).select(*headers, *unused, "title").withColumnsRenamed(headers)
     stock.hint("rebalance", F.col("title")).write.partitionBy("title").csv(path, header=True)
     schema = ", ".join(f"`{name}` {kind}" for name, kind in stock.dtypes if name != "title")
     return readers.read_stock_exports(spark, path, schema, fixed.STOCK_COLUMNS)
 
 
+def _landed(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    """Exports of text figures, landed: rows whose figures are numbers, and apart from them the others."""
+    path, out = shared_folder(spark), shared_folder(spark)
+    headers = {ours: theirs for theirs, ours in fixed.STOCK_COLUMNS.items()}
+    unused = [F.lit(0).alias(name) for name in fixed.UNUSED_STOCK_COLUMNS]
+    stock = standins.text_stock(spark, sf_dir).select(*unused, *headers, "title").withColumnsRenamed(headers)
+    stock.hint("rebalance", F.col("title")).write.partitionBy("title").option("emptyValue", "").csv(path, header=True)
+    figures = {headers["shelf_stock"], headers["store_stock"]}
+    schema = ", ".join(f"`{c}` {'double' if c in figures else 'string'}" for c in stock.columns if c != "title")
+    rows = readers.read_stock_exports(spark, path, schema, fixed.STOCK_COLUMNS, corrupt="line")
+    writers.write_accepted(rows, "line", f"{out}/stock", f"{out}/quarantine")
+    return spark.read.parquet(f"{out}/{which}")
+
+
+def _stacked_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product lists as files with three headers: the columns in order, in another order, and some missing among others."""
+    path = shared_folder(spark)
+    product = standins.product(spark, sf_dir)
+    forms = [
+        product.columns,
+        [*reversed(product.columns), F.lit("x").alias("remark")],
+        [F.lit(1).alias("row"), "title", F.lit("y, z").alias("remark"), "page_no"],
+    ]
+    for n, columns in enumerate(forms):
+        rows = product.filter(F.col("page_no") % len(forms) == n).select(*columns)
+        rows.write.mode("append").csv(path, header=True)
+    schema = ", ".join(f"{name} {kind}" for name, kind in product.dtypes)
+    return readers.read_folder(spark, path, schema, required=["title"]).drop("file_name")
+
+
 def _adjustment_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sheets as written for the upload, read back with our column names."""
     path = shared_folder(spark)
@@ -202,7 +233,7 @@ def _adjustment_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = dict(sheets.dtypes)
     schema = ", ".join(f"`{theirs}` {kinds[ours]}" for ours, theirs in fixed.ADJUSTMENT_HEADERS.items())
     names = {theirs: ours for ours, theirs in fixed.ADJUSTMENT_HEADERS.items()}
-    return readers.read_stock_exports(spark, path, schema, names)
+    return readers.read_stock_exports(spark, path, schema, names, blank_text=True)
 
 
 def _product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +289,7 @@ def _retail_queries() -> dict[str, Query]:
         "top_categories": lambda s, d: _rounded(sessions.category_frequency(_keyword_labels(s, d), k=2)),
         # gift stock
         "stock_mismatch": _mismatch,
+        "text_stock_mismatch": lambda s, d: stock_ops.stock_mismatch(standins.text_stock(s, d)),
         "rejected_products": lambda s, d: stock_ops.rejected_products(_mismatch(s, d)),
         "stock_adjustments": lambda s, d: stock_ops.adjustments(_mismatch(s, d), STOCK),
         "real_stock_mismatch": _real_stock_mismatch,
@@ -270,9 +302,6 @@ def _retail_queries() -> dict[str, Query]:
         "page_links": lambda s, d: catalog.page_links(standins.table(s, d, "pages")),
         "link_names": lambda s, d: catalog.link_names(catalog.page_links(standins.table(s, d, "pages"))),
         "page_urls": lambda s, d: catalog.page_urls(standins.listing(s, d), first_page=1),
-        "page_numbers": lambda s, d: standins.table(s, d, "pages").select(
-            "page_id", text.page_number(F.col("url")).alias("page_no")
-        ),
         "listing_page_numbers": lambda s, d: catalog.page_urls(standins.listing(s, d), first_page=1).select(
             "url", text.page_number(F.col("url")).alias("page_no")
         ),
@@ -280,6 +309,9 @@ def _retail_queries() -> dict[str, Query]:
         # sources and sinks
         "report_table": _report_table,
         "stock_exports": _stock_exports,
+        "landed_stock": lambda s, d: _landed(s, d, "stock").drop("file_name"),
+        "quarantined_rows": lambda s, d: _landed(s, d, "quarantine").drop("file_name", "line"),
+        "stacked_folder": _stacked_folder,
         "adjustment_sheets": _adjustment_sheets,
         "product_pages": _product_pages,
     }
@@ -410,6 +442,18 @@ def _stock_sql(select: str, tables: tuple = ("stock",), where: str = "") -> str:
         rejected AS (SELECT DISTINCT title FROM mismatch WHERE shelf_stock IS NULL) {select}"""
 
 
+_TEXT_MISMATCH = """
+    SELECT title, replace(store_code, '''''', '') AS store_code, sku, a AS store_stock, b AS shelf_stock
+    FROM (SELECT *, TRY_CAST(store_stock AS DOUBLE) AS a, TRY_CAST(shelf_stock AS DOUBLE) AS b FROM text_stock
+          WHERE store_stock IS DISTINCT FROM '')
+    WHERE a IS NULL OR b IS NULL OR a <> b"""
+# A cell that is empty is a missing figure, one that holds a word does not fit.
+_TYPED = """typed AS (
+    SELECT title, store_code, sku, TRY_CAST(shelf_stock AS DOUBLE) AS shelf_stock, TRY_CAST(store_stock AS DOUBLE) AS store_stock,
+           (coalesce(shelf_stock, '') = '' OR TRY_CAST(shelf_stock AS DOUBLE) IS NOT NULL)
+           AND (coalesce(store_stock, '') = '' OR TRY_CAST(store_stock AS DOUBLE) IS NOT NULL) AS fits
+    FROM text_stock)"""
+
 _ADJUSTMENTS = f"""
     SELECT '{STOCK.warehouse_code}' AS warehouse_code, store_code, sku,
            store_stock - trunc(shelf_stock) AS adjust_qty, '{STOCK.adjust_type}' AS adjust_type,
@@ -535,6 +579,7 @@ def _retail_sql() -> dict[str, str]:
         "category_frequency": _texts_sql(_FREQUENCY),
         "top_categories": _texts_sql(f"{_FREQUENCY} ORDER BY sessions DESC, category LIMIT 2"),
         "stock_mismatch": _stock_sql("SELECT * FROM mismatch"),
+        "text_stock_mismatch": f"WITH {oracle_tables('stock', 'text_stock')} {_TEXT_MISMATCH}",
         "rejected_products": _stock_sql("SELECT title FROM rejected"),
         "stock_adjustments": _stock_sql(_ADJUSTMENTS),
         "real_stock_mismatch": _stock_sql("SELECT * FROM mismatch", ("stock", "product"), _LISTED),
@@ -551,7 +596,6 @@ def _retail_sql() -> dict[str, str]:
             SELECT base_url, page_no, base_url || '&page=' || page_no AS url
             FROM (SELECT base_url, CAST(unnest(generate_series(1, CAST(regexp_extract(last_href, '[0-9]+$') AS INTEGER)))
                                         AS INTEGER) AS page_no FROM listing)""",
-        "page_numbers": "SELECT page_id, TRY_CAST(string_split(url, '=')[-1] AS INTEGER) AS page_no FROM pages",
         "listing_page_numbers": f"""
             WITH {oracle_tables('listing')},
             last AS (SELECT base_url, CAST(regexp_extract(last_href, '[0-9]+$') AS INTEGER) AS n FROM listing)
@@ -562,11 +606,12 @@ def _retail_sql() -> dict[str, str]:
             FROM part""",
         "report_table": _conversion_sql(_REGION),
         "stock_exports": f"WITH {oracle_tables('stock')} SELECT * FROM stock",
-        # A blank cell of a CSV sheet reads as NULL.
-        "adjustment_sheets": _stock_sql(
-            "SELECT * REPLACE ("
-            + ", ".join(f"nullif({c}, '') AS {c}" for c in STOCK.blank_columns)
-            + f") FROM ({_ADJUSTMENTS})"
-        ),
+        "landed_stock": f"WITH {oracle_tables('stock', 'text_stock')}, {_TYPED} SELECT * EXCLUDE (fits) FROM typed WHERE fits",
+        "quarantined_rows": f"WITH {oracle_tables('stock', 'text_stock')}, {_TYPED} SELECT * EXCLUDE (fits) FROM typed WHERE NOT fits",
+        "stacked_folder": f"""
+            WITH {oracle_tables('product')}
+            SELECT page_no, title, CASE WHEN page_no % 3 < 2 THEN href END AS href,
+                   CASE WHEN page_no % 3 < 2 THEN stock_mode END AS stock_mode FROM product""",
+        "adjustment_sheets": _stock_sql(_ADJUSTMENTS),
         "product_pages": f"WITH {oracle_tables('product')} {_REAL}",
     }

@@ -88,6 +88,20 @@ STOCK_COLUMNS = {
     "实时上架库存（包含虚拟）": "shelf_stock",
     "门店实时库存（剔除未核销）": "store_stock",
 }
+# Columns of a stock export that no figure is taken from.
+UNUSED_STOCK_COLUMNS = (
+    "门店实物库存（包含未核销）",
+    "期初实物库存数",
+    "在途数",
+    "本月入库实物数",
+    "本月入库虚拟数",
+    "本月出库数",
+    "本月下单数",
+    "本月之前下单未核销数",
+    "本月下单未核销数",
+    "本月下单已核销数",
+    "本月盘盈亏数",
+)
 REAL_STOCK_MODE = "真实库存"
 WAREHOUSE_CODE = "STZBZC"
 ADJUST_TYPE = "虚拟库存"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import csv
+from collections import Counter
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from storewright.schemas import rename_columns
 
@@ -21,69 +23,118 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: s
     if fmt == "csv":
         if schema is None:
             raise ValueError("a CSV table needs a schema")
-        return reader.csv(path, header=True, encoding="UTF-8", multiLine=False)
+        # The header is compared with the schema: columns in another order are an error, not other values.
+        return reader.csv(path, header=True, encoding="UTF-8", multiLine=False, enforceSchema=False)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def read_folder(
-    spark: SparkSession, path: str, schema: str, name_contains: str = "", fmt: str = "csv"
-) -> DataFrame:
-    """All files of a folder whose name contains a text, stacked, with ``file_name``."""
-    reader = spark.read.schema(schema).option("pathGlobFilter", f"*{name_contains}*")
-    files = reader.csv(path, header=True, encoding="UTF-8") if fmt == "csv" else reader.parquet(path)
-    return files.select("*", F.col("_metadata.file_name").alias("file_name"))
+def header_forms(spark: SparkSession, path: str, name_contains: str = "") -> list[tuple[list[str], list[str]]]:
+    """(column names, files) for each distinct header line among the CSV files of a folder; files without a line left out.
+
+    The first line of a file is the least row number of its first block. Row
+    numbers alone are grouped, one per file and task in the shuffle.
+    """
+    lines = (
+        spark.read.option("pathGlobFilter", f"*{name_contains}*")
+        .text(path)
+        .filter(F.col("_metadata.file_block_start") == 0)
+        .select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("row"))
+    )
+    first = lines.groupBy("file").agg(F.min("row").alias("row"))
+    heads = lines.join(first, ["file", "row"]).select("file", F.ltrim("value", F.lit("\ufeff")).alias("header"))
+    # A row per header form, with the names of its files, which the driver lists for any scan.
+    forms = heads.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [(_unique([n.strip() for n in next(csv.reader([r.header]), [])]), r.files) for r in forms.orderBy("header").collect()]
+
+
+def _unique(names: list[str]) -> list[str]:
+    """A repeated name gets a number; the first of its columns keeps the name."""
+    seen: Counter[str] = Counter()
+    out = []
+    for name in names:
+        out.append(f"{name}.{seen[name]}" if seen[name] else name)
+        seen[name] += 1
+    return out
 
 
-def read_workbooks(
+def read_folder(
     spark: SparkSession,
     path: str,
     schema: str,
-    name_contains: str = "xlsx",
-    parse: Callable[[bytes], pd.DataFrame] | None = None,
+    name_contains: str = "",
+    fmt: str = "csv",
+    required: Sequence[str] = (),
+    corrupt: str | None = None,
 ) -> DataFrame:
-    """First sheets of all workbooks in a folder, stacked, with ``file_name``.
+    """All files of a folder whose name contains a text, stacked by column name, with ``file_name``.
 
-    Workbooks are spread over the tasks; one sheet holds at most 2**20 rows and
-    is parsed in one piece. Columns are found by name and converted by Spark, a
-    value that does not fit becomes NULL. ``parse`` turns a file's bytes into a
-    pandas frame; by default pandas does, which needs a workbook engine
-    (openpyxl) on the executors. Large inputs belong in Parquet or CSV.
+    Files may have their columns in any order, lack some (NULL then) and have
+    others (not read). A file without one of the ``required`` columns is an error at
+    plan time. CSV files are read per header form, each form in one scan. With
+    ``corrupt``, a column of that name holds the line of every row with a value
+    that does not fit its type; without it such a value is NULL.
     """
-    fields = spark.createDataFrame([], schema).schema.fields
-    names = [f.name for f in fields]
-
-    def sheets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from io import BytesIO
-
-        for batch in batches:
-            for file_name, content in zip(batch["file_name"], batch["content"]):
-                sheet = parse(content) if parse else pd.read_excel(BytesIO(content), dtype=str)
-                cells = sheet[names].astype(object)
-                cells = cells.where(cells.notnull(), None).map(lambda v: v if v is None else str(v))
-                yield cells.assign(file_name=file_name)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{name_contains}*").load(path)
-    raw = files.select(F.col("_metadata.file_name").alias("file_name"), "content").mapInPandas(
-        sheets, ", ".join([f"`{n}` string" for n in names] + ["file_name string"])
-    )
-    return raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in fields], "file_name")
+    if fmt != "csv":
+        files = spark.read.schema(schema).option("pathGlobFilter", f"*{name_contains}*").parquet(path)
+        return files.select("*", F.col("_metadata.file_name").alias("file_name"))
+    fields = StructType.fromDDL(schema).fields
+    name = F.col("_metadata.file_name").alias("file_name")
+    out = spark.createDataFrame([], StructType([*fields, StructField("file_name", StringType())]))
+    if corrupt:
+        out = out.withColumn(corrupt, F.lit(None).cast("string"))
+    for names, files in header_forms(spark, path, name_contains):
+        missing = [c for c in required if c not in names]
+        if missing:
+            raise ValueError(f"missing columns {missing} in {files[:3]}; found {names}")
+        form = _csv(spark, names, fields, corrupt).csv(files)
+        columns = [
+            F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in fields
+        ]
+        out = out.unionByName(form.select(*columns, name, *([corrupt] if corrupt else [])))
+    return out
+
+
+def _csv(spark: SparkSession, names: list[str], fields: list[StructField], corrupt: str | None) -> DataFrameReader:
+    """A reader of CSV files with these columns, typed where the wanted fields say so. Spark prunes the others in the scan."""
+    wanted = {f.name: f.dataType for f in fields}
+    kinds = [StructField(n, wanted.get(n, StringType())) for n in names]
+    reader = spark.read.options(header=True, encoding="UTF-8")
+    if corrupt:
+        kinds.append(StructField(corrupt, StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.schema(StructType(kinds))
 
 
 def read_stock_exports(
-    spark: SparkSession, path: str, schema: str, names: dict[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    names: dict[str, str] | None = None,
+    corrupt: str | None = None,
+    blank_text: bool = False,
 ) -> DataFrame:
     """Stock exports, one ``title=...`` folder per product, all in one scan.
 
-    ``schema`` lists the file's own columns; ``names`` renames them (source ->
-    ours). An empty export adds no rows. Fields are matched by position and the
-    header is checked against the schema.
+    ``schema`` lists the file's own columns, all of them in their order: the header
+    is checked against it. ``names`` renames those that are wanted (source -> ours);
+    the scan reads no others. An empty export adds no rows. With ``corrupt``, a
+    column of that name holds the line of every row with a value that does not fit
+    its type, and ``file_name`` says where it stands. With ``blank_text``, a quoted
+    empty cell is an empty text and not NULL, as `write_adjustments` writes it.
     """
-    stock = (
-        spark.read.schema(f"{schema}, title string")
-        .option("enforceSchema", False)
-        .csv(path, header=True, encoding="UTF-8")
-    )
-    return stock if names is None else rename_columns(stock, {**names, "title": "title"})
+    extra = f", `{corrupt}` string" if corrupt else ""
+    reader = spark.read.schema(f"{schema}, title string{extra}").options(header=True, encoding="UTF-8", enforceSchema=False)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    if blank_text:
+        reader = reader.option("nullValue", "\\N")
+    stock = reader.csv(path)
+    if corrupt:
+        stock = stock.withColumn("file_name", F.col("_metadata.file_path"))
+    if names is None:
+        return stock
+    kept = {**names, "title": "title"} | ({corrupt: corrupt, "file_name": "file_name"} if corrupt else {})
+    return rename_columns(stock, kept)
 
 
 def jdbc_options(

@@ -18,6 +18,17 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         raise ValueError(f"unsupported format {fmt!r}")
 
 
+def write_accepted(rows: DataFrame, corrupt: str, accepted: str, quarantine: str) -> None:
+    """Rows without a line in the column ``corrupt``, without that column, and apart from them the others, whole.
+
+    Both take the same columns, so Spark reads and judges the same cells for both.
+    """
+    columns = [c for c in rows.columns if c != corrupt]
+    good = rows.filter(F.col(corrupt).isNull()).select(*columns)
+    write_table(good, accepted)
+    write_table(rows.filter(F.col(corrupt).isNotNull()), quarantine)
+
+
 def write_adjustments(adjustments: DataFrame, path: str, source_headers: bool = True) -> None:
     """One folder of CSV per product title.
 

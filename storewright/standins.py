@@ -49,7 +49,7 @@ def shop(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").alias("store_code"),
         F.col("s_name").alias("store_name"),
         F.when(F.col("s_suppkey") % 3 == 0, fixed.AGENT_STORE_TYPE).otherwise("x").alias("store_type"),
-        F.col("r_name").alias("region"),
+        F.when(F.col("s_suppkey") % 11 != 0, F.col("r_name")).otherwise(CONFIG.excluded_region).alias("region"),
         F.col("n_name").alias("subregion"),
     )
 
@@ -81,7 +81,9 @@ def purchase(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("sku"),
         F.col("o_orderstatus").alias("channel"),
         F.col("o_orderdate").alias("purchased_at"),
-        F.col("l_extendedprice").alias("amount"),
+        F.when(F.col("l_linenumber") % 3 == 2, -F.col("l_extendedprice"))
+        .when(F.col("l_linenumber") % 4 != 0, F.col("l_extendedprice"))
+        .alias("amount"),
     )
 
 
@@ -117,7 +119,7 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .groupBy("l_suppkey", "l_partkey")
         .agg(
-            F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity"))).alias("shelf"),
+            F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity") - F.col("l_linenumber") / 4)).alias("shelf"),
             F.sum("l_quantity").alias("store_stock"),
         )
     )
@@ -134,6 +136,17 @@ def stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.filter(F.col("title").isNotNull())
 
 
+def text_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as an export read as text: some cells are empty, some hold words."""
+    rows = stock(spark, sf_dir)
+    kind = F.col("sku").cast("int") % 13
+    return rows.select(
+        "title", "store_code", "sku",
+        F.when(kind == 1, "none").when(kind == 2, "").otherwise(F.col("shelf_stock").cast("string")).alias("shelf_stock"),
+        F.when(kind == 3, "").when(kind == 4, "?").otherwise(F.col("store_stock").cast("string")).alias("store_stock"),
+    )
+
+
 def product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A list of products over 50 pages; titles repeat from page to page."""
     key = F.col("p_partkey")
@@ -207,7 +220,7 @@ ORACLE = {
     "shop": """
         SELECT s_suppkey AS store_code, s_name AS store_name,
                CASE WHEN s_suppkey % 3 = 0 THEN '代理店' ELSE 'x' END AS store_type,
-               r_name AS region, n_name AS subregion
+               CASE WHEN s_suppkey % 11 <> 0 THEN r_name ELSE '营销管理部' END AS region, n_name AS subregion
         FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "member": """
         SELECT c_custkey AS member_id, c_custkey % (SELECT count(*) FROM supplier) AS service_store,
@@ -217,7 +230,8 @@ ORACLE = {
         FROM customer""",
     "purchase": """
         SELECT o_custkey AS member_id, l_partkey AS sku, o_orderstatus AS channel,
-               o_orderdate AS purchased_at, l_extendedprice AS amount
+               o_orderdate AS purchased_at, CASE WHEN l_linenumber % 3 = 2 THEN -l_extendedprice
+               WHEN l_linenumber % 4 <> 0 THEN l_extendedprice END AS amount
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "goods": "SELECT p_partkey AS sku, p_type AS goods_class FROM part",
     "contact": """
@@ -230,10 +244,15 @@ ORACLE = {
     "stock": """
         SELECT 'T' || CAST(l_partkey % 50 AS VARCHAR) AS title,
                '''''' || CAST(l_suppkey AS VARCHAR) AS store_code, CAST(l_partkey AS VARCHAR) AS sku,
-               coalesce(sum(l_quantity) FILTER (WHERE l_returnflag = 'N'),
+               coalesce(sum(l_quantity - l_linenumber / 4) FILTER (WHERE l_returnflag = 'N'),
                         CASE WHEN l_partkey % 10 <> 0 THEN 0.0 END) AS shelf_stock,
                sum(l_quantity) AS store_stock
         FROM lineitem GROUP BY l_suppkey, l_partkey""",
+    "text_stock": """
+        SELECT title, store_code, sku,
+               CASE CAST(sku AS INTEGER) % 13 WHEN 1 THEN 'none' WHEN 2 THEN '' ELSE CAST(shelf_stock AS VARCHAR) END AS shelf_stock,
+               CASE CAST(sku AS INTEGER) % 13 WHEN 3 THEN '' WHEN 4 THEN '?' ELSE CAST(store_stock AS VARCHAR) END AS store_stock
+        FROM stock""",
     "product": """
         SELECT CAST(p_partkey % 2000 // 40 + 1 AS INTEGER) AS page_no,
                'T' || CAST(p_partkey % 50 AS VARCHAR) AS title,

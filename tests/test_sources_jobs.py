@@ -52,26 +52,77 @@ def test_folder_takes_files_by_name(spark, tmp_path):
     assert got.select("file_name").distinct().count() == 2
 
 
-def test_workbooks(spark, tmp_path):
-    """The distribution and typing; the sheet parser itself is a stand-in here."""
-
-    def parse(content):
-        import io
-
-        import pandas as pd
-
-        return pd.read_csv(io.BytesIO(content))
-
-    put(tmp_path / "第1页.xlsx", "other,title,page_no\n1,T1,1\n2,,2\n")
-    put(tmp_path / "第2页.xlsx", "title,page_no\nT2,x\n")
-    put(tmp_path / "notes.txt", "no\n")
-    sheets = readers.read_workbooks(spark, str(tmp_path), "title string, page_no int", parse=parse)
-    assert sheets.dtypes == [("title", "string"), ("page_no", "int"), ("file_name", "string")]
-    assert sorted(map(tuple, sheets.collect()), key=str) == [
-        ("T1", 1, "第1页.xlsx"),
-        ("T2", None, "第2页.xlsx"),
-        (None, 2, "第1页.xlsx"),
+FOLDER = "title string, page_no int, href string"
+
+
+def test_files_are_stacked_by_column_name(spark, tmp_path):
+    """Columns in another order, missing and further ones, repeated names, a byte order mark, quotes, files without rows or lines."""
+    put(tmp_path / "a.csv", "title,page_no,href\nT1,1,/a\n")
+    put(tmp_path / "b.csv", "\ufeffhref,other,page_no,title\n/b,9,2,T2\n/c,9,3,T3\n")
+    put(tmp_path / "c.csv", 'title,title,"a, b"\nT4,no,x\n')
+    put(tmp_path / "d.csv", "title,page_no,href\r\nT5,5,\r\n")
+    put(tmp_path / "e.csv", "page_no,title\n")
+    put(tmp_path / "f.csv", "")
+    rows = readers.read_folder(spark, str(tmp_path), FOLDER)
+    assert rows.columns == ["title", "page_no", "href", "file_name"]
+    assert sorted(map(tuple, rows.collect())) == [
+        ("T1", 1, "/a", "a.csv"), ("T2", 2, "/b", "b.csv"), ("T3", 3, "/c", "b.csv"), ("T4", None, None, "c.csv"),
+        ("T5", 5, None, "d.csv"),
     ]
+    forms = readers.header_forms(spark, str(tmp_path))
+    assert sorted(names for names, _ in forms) == sorted(
+        [["title", "page_no", "href"], ["href", "other", "page_no", "title"], ["title", "title.1", "a, b"], ["page_no", "title"]]
+    )
+    with pytest.raises(ValueError, match="page_no"):
+        readers.read_folder(spark, str(tmp_path), FOLDER, required=["title", "page_no"])
+
+
+def test_folders_without_files_with_lines(spark, tmp_path):
+    put(tmp_path / "a.csv", "")
+    rows = readers.read_folder(spark, str(tmp_path), FOLDER, corrupt="line")
+    assert rows.columns == ["title", "page_no", "href", "file_name", "line"] and rows.collect() == []
+
+
+def test_first_lines_of_files_in_many_blocks(spark, tmp_path, conf):
+    """Files of several blocks and several files to a task: each header is its file's first line."""
+    conf(spark__sql__files__maxPartitionBytes="200", spark__sql__files__openCostInBytes="10")
+    for n in range(12):
+        head = "title,page_no" if n % 2 else "page_no,title"
+        lines = [f"T{n}-{i},{i}" if n % 2 else f"{i},T{n}-{i}" for i in range(1, 3 + 20 * (n % 3))]
+        put(tmp_path / f"{n}.csv", "\n".join([head, *lines]) + "\n")
+    rows = readers.read_folder(spark, str(tmp_path), "title string, page_no int").collect()
+    want = {(f"T{n}-{i}", i, f"{n}.csv") for n in range(12) for i in range(1, 3 + 20 * (n % 3))}
+    assert {tuple(r) for r in rows} == want and len(rows) == len(want)
+
+
+def test_rows_that_do_not_fit_go_to_quarantine(spark, tmp_path):
+    put(tmp_path / "in" / "a.csv", "title,page_no,href\nT1,1,/a\nT2,two,/b\n,,\n")
+    put(tmp_path / "in" / "b.csv", "page_no,more,title\n3.5,x,T3\n4,y,T4\n")
+    rows = readers.read_folder(spark, str(tmp_path / "in"), FOLDER, corrupt="line")
+    writers.write_accepted(rows, "line", str(tmp_path / "good"), str(tmp_path / "bad"))
+    good, bad = spark.read.parquet(str(tmp_path / "good")), spark.read.parquet(str(tmp_path / "bad"))
+    assert "line" not in good.columns
+    assert sorted((r.title or "", r.page_no) for r in good.collect()) == [("", None), ("T1", 1), ("T4", 4)]
+    assert sorted((r.file_name, r.line) for r in bad.collect()) == [("a.csv", "T2,two,/b"), ("b.csv", "3.5,x,T3")]
+
+
+def test_exports_are_pruned_and_checked(spark, tmp_path):
+    head = [*list(fixed.STOCK_COLUMNS), *fixed.UNUSED_STOCK_COLUMNS]
+    put(tmp_path / "title=T" / "a.csv", ",".join(head) + "\n" + ",".join(["''S1", "k", "x", "1", *["0"] * 11]) + "\n")
+    figures = list(fixed.STOCK_COLUMNS)[2:]
+    schema = ", ".join(f"`{c}` {'double' if c in figures else 'string'}" for c in head)
+    rows = readers.read_stock_exports(spark, str(tmp_path), schema, fixed.STOCK_COLUMNS, corrupt="line")
+    (row,) = rows.collect()
+    assert row.shelf_stock is None and row.line.startswith("''S1,k,x,1") and row.file_name.endswith("a.csv")
+    plain = readers.read_stock_exports(spark, str(tmp_path), schema, fixed.STOCK_COLUMNS)
+    read = plain._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1]
+    assert all(name not in read for name in fixed.UNUSED_STOCK_COLUMNS)
+
+
+def test_columns_in_another_order_are_an_error_where_files_have_one_schema(spark, tmp_path):
+    put(tmp_path / "t.csv", "page_no,title\n1,T1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_table(spark, str(tmp_path / "t.csv"), "title string, page_no int", "csv").collect()
 
 
 def test_stock_exports(spark, tmp_path):
