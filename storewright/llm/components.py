@@ -9,6 +9,7 @@ executor costs one round.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,15 @@ def written(spark: SparkSession, df: DataFrame, by: str | None = None) -> DataFr
     return spark.table(name)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that `written` or `write_chunks` made, once nothing reads it any more: it would count as disk until the end."""
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if re.search(r"/[0-9a-f]{32}$", folder):  # only folders that `shared_folder` named
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

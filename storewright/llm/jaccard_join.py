@@ -13,8 +13,8 @@ is least, and a pair is verified only when it shares min(l, l') prefix tokens.
 How it runs. Chunks send their distinct tokens, packed, to buckets and get the
 document counts back; equal sets collapse to their smallest document. Tokens
 that one document holds make no posting. While the lists hold many more pairs
-than postings, and a round still lowers that, rounds of stars compare each
-document with one that leads most of its lists and belongs to the largest
+than postings, and rounds still join components, stars compare each
+document with one, later a few, that lead most of its lists and belong to the largest
 component there; pairs are then made only between documents that are still in
 different components, so a group of thousands of copies costs its size and not
 its square. No pair is capped or dropped; a pair that meets too late in the
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storewright.llm.chunks import Chunk, bucket_count, pack, per_bucket, per_chunk, unpack, with_chunk, write_chunks
-from storewright.llm.components import components, written
+from storewright.llm.components import components, discard, written
 from storewright.llm.workers import releasing
 
 SLICE_BYTES = 1_000_000
@@ -47,6 +47,7 @@ KEYS, SETS, CHOSEN = 0, 1, 2
 ASKED = "kind int, bucket int, chunk long, keys binary, counts binary, more binary"
 CLASSES = "node long, chunk long, row long, doc_id long, n_shingles long, high long, low long"
 LEVELS = (1, 2, 4, 8, 16, 32, 64)
+SLICE_PAIRS = 4096  # pairs that one copy of a centre's set serves
 
 
 @dataclass(frozen=True)
@@ -54,7 +55,8 @@ class JoinSpec:
     words: int = 5
     percent: int = 75
     bucket_bytes: int = 4_000_000
-    star_rounds: int = 8
+    star_rounds: int = 24
+    leaders: int = 16
     pairs_each: int = 4
 
 
@@ -258,11 +260,20 @@ ARRAYS = "node long, doc_id long, n long, least int, tokens array<long>, places
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (u, v) those that link."""
+    """Of written pairs (u, v) those that link.
+
+    Many pairs can share one v, the centre of a star: its set is sent to as many
+    tasks as its pairs need.
+    """
+    slices = F.ceil(F.col("count") / SLICE_PAIRS)
+    centres = pairs.groupBy("v").count().select("v", slices.alias("slices"))
+    dealt = pairs.join(centres, "v").select("u", "v", F.pmod(F.xxhash64("u"), "slices").alias("slice"))
     of = sets.select("node", "n", "shingles")
     left = of.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("shingles").alias("s_u"))
     right = of.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("shingles").alias("s_v"))
-    joined = pairs.select("u", "v").join(left, "u").join(right, "v")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice")
+    right = right.join(centres, "v").select("v", "n_v", "s_v", every)
+    joined = dealt.join(left, "u").join(right, ["v", "slice"])
     shared = F.size(F.array_intersect("s_u", "s_v"))
     return joined.filter(100 * shared >= percent * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v")
 
@@ -280,11 +291,16 @@ def _may_link(percent: int) -> Column:
     return (100 * small >= percent * large) & enough
 
 
-def _stars(postings: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each document with the leader of most of its lists, a member of the largest component there; other leaders every turn."""
-    place = F.struct((-F.col("size")).alias("size"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "root", "least", "place")
-    led = postings.groupBy("token").agg(F.min(place).alias("leader"))
-    pairs = postings.join(led, "token").select(
+def _stars(postings: DataFrame, turn: int, percent: int, leaders: int) -> DataFrame:
+    """Each document with up to ``leaders`` leaders of most of its lists, members of the largest component there; others every turn."""
+
+    def place(number: int) -> Column:
+        mixed = F.xxhash64("node", F.lit(turn), F.lit(number)).alias("h")
+        return F.struct((-F.col("size")).alias("size"), mixed, "node", "n", "root", "least", "place")
+
+    led = postings.groupBy("token").agg(F.array_distinct(F.array(*[F.min(place(i)) for i in range(leaders)])).alias("led"))
+    pairs = postings.join(led, "token").select("node", "n", "root", "least", "place", F.explode("led").alias("leader"))
+    pairs = pairs.select(
         F.col("node").alias("u"), F.col("leader.node").alias("v"), F.col("n").alias("n_u"),
         F.col("leader.n").alias("n_v"), "root", F.col("leader.root").alias("other"),
         F.col("least").alias("least_u"), F.col("leader.least").alias("least_v"),
@@ -292,7 +308,10 @@ def _stars(postings: DataFrame, turn: int, percent: int) -> DataFrame:
     )
     pairs = pairs.filter((F.col("root") != F.col("other")) & _may_link(percent))
     counted = pairs.groupBy("u", "v").count()
-    return counted.groupBy("u").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
+    # A document has at most as many rows here as its prefix has tokens, times the leaders.
+    order = F.sort_array(F.collect_list(F.struct("count", "v")), asc=False)
+    best = counted.groupBy("u").agg(F.slice(order, 1, leaders).alias("best"))
+    return best.select("u", F.explode("best.v").alias("v"))
 
 
 def _merged_roots(spark: SparkSession, roots: DataFrame, found: DataFrame) -> DataFrame:
@@ -316,12 +335,17 @@ def _pairs_left(postings: DataFrame) -> tuple[int, int]:
     return int(left or 0), int(held or 0)
 
 
-def _pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix tokens."""
+def _mixed(postings: DataFrame) -> DataFrame:
+    """The postings of tokens that documents of several components have; no other list can give a new pair."""
     mixed = postings.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    rows = postings.join(mixed.select("token"), "token", "left_semi")
+    return postings.join(mixed.select("token"), "token", "left_semi")
+
+
+def _pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that share enough prefix tokens; ``postings`` as `_mixed` leaves them."""
     left, right = (
-        rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "least", "place", "root")]) for side in "uv"
+        postings.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "least", "place", "root")])
+        for side in "uv"
     )
     met = left.join(right, "token").filter(
         (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link(percent)
@@ -329,7 +353,39 @@ def _pairs(postings: DataFrame, percent: int) -> DataFrame:
     counted = met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(
         F.count("*").alias("shared"), F.first(F.least("least_u", "least_v")).alias("needed")
     )
-    return counted.filter("shared >= needed")
+    return counted.filter("shared >= needed").select("u", "v")
+
+
+def _linked_roots(spark: SparkSession, lists: DataFrame, sets: DataFrame, spec: JoinSpec) -> DataFrame:
+    """(node, root): rounds of stars first, in which every document is compared with one other, then all pairs that are left.
+
+    A family of near copies has more pairs than anybody could compare, but is one
+    component after a few stars. The first round has one leader a list, later ones,
+    over the lists that still mix components, have more, for documents at the edge
+    of a family, which are near few of its members. Rounds go on while many pairs
+    are left and at least a twentieth of the compared documents link.
+    """
+    columns = ["node", "n", "least", "token", "place"]
+    roots = written(spark, sets.select("node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")))
+    turn, active = 0, lists.join(roots, "node")
+    while turn < spec.star_rounds:
+        tested = written(spark, _stars(active, turn, spec.percent, spec.leaders if turn else 1))
+        found = written(spark, verified(tested, sets, spec.percent))
+        n_tested, n_found = (df.agg(F.count_distinct("u")).first()[0] for df in (tested, found))
+        if not n_found:
+            break
+        roots, old = _merged_roots(spark, roots, found), roots
+        active, before = written(spark, _mixed(active.select(*columns).join(roots, "node"))), active if turn else None
+        for table in (old, tested, found, *([before] if before is not None else [])):
+            discard(table)
+        turn += 1
+        left, held = _pairs_left(active)
+        if left <= spec.pairs_each * held or 20 * n_found < n_tested:
+            break
+    if not turn:
+        active = _mixed(active)
+    pairs = written(spark, _pairs(active, spec.percent))
+    return _merged_roots(spark, roots, written(spark, verified(pairs, sets, spec.percent))).select("node", "root")
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, spec: JoinSpec | None = None) -> DataFrame:
@@ -373,21 +429,8 @@ def _near_duplicates(spark: SparkSession, chunks: DataFrame, spec: JoinSpec) ->
         "node", "n", "least", F.col("one.tokens").alias("token"), F.col("one.places").alias("place")
     )
 
-    roots = written(spark, sets.select("node", F.col("node").alias("root"), F.lit(1).cast("long").alias("size")))
-    before = None
-    for turn in range(spec.star_rounds):
-        left, held = _pairs_left(lists.join(roots, "node"))
-        # Few pairs are made at once; the same if the last round did not save a fifth of them.
-        if left <= spec.pairs_each * held or (before is not None and 5 * left > 4 * before):
-            break
-        before = left
-        stars = _stars(lists.join(roots, "node"), turn, spec.percent)
-        found = written(spark, verified(stars, sets, spec.percent))
-        if found.isEmpty():
-            break
-        roots = _merged_roots(spark, roots, found)
-    found = written(spark, verified(_pairs(lists.join(roots, "node"), spec.percent), sets, spec.percent))
-    roots = _merged_roots(spark, roots, found).select("node", "root")
+    discard(asked)
+    roots = _linked_roots(spark, lists, sets, spec)
     # A component is called by the smallest id of its classes.
     named = classes.select("high", "low", F.col("first.node").alias("node"), F.col("first.doc_id").alias("least_id"))
     named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -122,6 +122,25 @@ def test_jaccard_join(spark, near_rows, turns):
     assert got == plain_components(near_rows)
 
 
+@pytest.mark.parametrize("spec", [jaccard_join.JoinSpec(), jaccard_join.JoinSpec(leaders=3, pairs_each=0)])
+def test_jaccard_join_of_large_families(spark, spec, monkeypatch):
+    """Two families just below the threshold from each other, and documents at their edges; centres are cut into slices."""
+    monkeypatch.setattr(jaccard_join, "SLICE_PAIRS", 7)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    other = base[:100] + [f"o{i}" for i in range(20)]  # shares 96 of 136 shingles: below 75 %
+    rows = []
+    for i in range(160):
+        text = list(base if i % 2 else other)
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            text[rng.randrange(len(text))] = f"z{rng.randint(0, 999)}"
+        rows.append((i, " ".join(text)))
+    want = plain_components(rows)
+    assert len({c for _, _, c in want}) > 4
+    found = jaccard_join.near_duplicates(spark, documents(spark, rows), spec)
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr) == want
+
+
 def test_first_of_each_group_stays_with_its_columns(spark, near_rows):
     docs = documents(spark, near_rows)
     kept = jaccard_join.keep_first(spark, docs)
