@@ -11,8 +11,11 @@ Shape of the plan, from the big end:
 * A distinct count with a condition is a maximum of a flag per (store, id)
   followed by plain counts per store. That is exact also when an id has several
   rows, and replaces six distinct aggregates, which would multiply the rows by
-  six before the first shuffle. Grouping by (store, id) spreads a hot store;
-  the counts per store are combined on the map side.
+  six before the first shuffle. Buyers and channel ids are two kinds of ids, so
+  each member row becomes two small ones after the semi join, and one grouping by
+  (store, kind, id), combined before its shuffle, serves all six counts. It spreads
+  a hot store; the counts per store are combined on the map side.
+* So members are shuffled twice: for the semi join, and as ids for the grouping.
 * The store dimension is joined last, to one row per store.
 
 No side is hinted as broadcast. Catalyst and AQE broadcast a side they measured
@@ -61,12 +64,7 @@ def buying_members(purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig)
     )
 
 
-def activated_members(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
-    """Activated members with a service store, and whether they registered in or before the period.
-
-    The distinct combines repeated rows. Both branches of `store_counts` read its
-    one shuffle.
-    """
+def _activated_rows(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
     registered = F.col("registered_at")
     return (
         member.filter(F.col("activated") == cfg.activated_flag)
@@ -78,17 +76,28 @@ def activated_members(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
             F.coalesce(cfg.in_period(registered), F.lit(False)).alias("is_new"),
             F.coalesce(registered < cfg.start_ts, F.lit(False)).alias("is_old"),
         )
-        .distinct()
     )
 
 
+def activated_members(member: DataFrame, cfg: ConversionConfig) -> DataFrame:
+    """Activated members with a service store, and whether they registered in or before the period; each once."""
+    return _activated_rows(member, cfg).distinct()
+
+
+def _who_bought(members: DataFrame, buyers: DataFrame) -> DataFrame:
+    return spread_join(members, buyers, "member_id", "left_semi", ["store_code", "union_id"], MEMBER_SLICES)
+
+
 def qualifying_members(
     member: DataFrame, purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig
 ) -> DataFrame:
-    """Activated members who bought. An id shared by many member rows is spread over several tasks."""
-    buyers = buying_members(purchase, goods, cfg)
-    spread_by = ["store_code", "union_id"]
-    return spread_join(activated_members(member, cfg), buyers, "member_id", "left_semi", spread_by, MEMBER_SLICES)
+    """Activated members who bought, each once. An id shared by many member rows is spread over several tasks."""
+    return _who_bought(activated_members(member, cfg), buying_members(purchase, goods, cfg))
+
+
+def qualifying_rows(member: DataFrame, purchase: DataFrame, goods: DataFrame, cfg: ConversionConfig) -> DataFrame:
+    """The same with repeated rows as they come: enough for distinct counts, and without the shuffle of a distinct."""
+    return _who_bought(_activated_rows(member, cfg), buying_members(purchase, goods, cfg))
 
 
 def contact_ids(contact: DataFrame, cfg: ConversionConfig) -> DataFrame:
@@ -101,29 +110,33 @@ def contact_ids(contact: DataFrame, cfg: ConversionConfig) -> DataFrame:
     )
 
 
-def _flags_per_id(members: DataFrame, id_column: str) -> DataFrame:
-    return members.groupBy("store_code", id_column).agg(
-        F.bool_or("is_new").alias("is_new"), F.bool_or("is_old").alias("is_old")
-    )
-
-
 def store_counts(members: DataFrame, contact: DataFrame, cfg: ConversionConfig) -> DataFrame:
-    """Six distinct counts per service store; ``members`` as given by `qualifying_members`.
+    """Six distinct counts per service store; ``members`` as given by `qualifying_members` or `qualifying_rows`.
 
-    Buyer ids and channel ids are stacked and counted together, so the stores
-    are shuffled once. Whether a channel id is a contact is a marker from a left
-    join, not a filter: a filter would be pushed into the members' scan and the
-    two branches could no longer share it. The ids without a value are one row
-    per store by then.
+    Ids are tagged with what they count as, so member and channel ids go through
+    one grouping. Only ids tagged as channel ids can be contacts.
     """
-    buyers = _flags_per_id(members, "member_id").withColumn("counts_as", F.lit("buyer"))
-    contacts = contact_ids(contact, cfg).withColumn("counts_as", F.lit("added"))
-    added = _flags_per_id(members, "union_id").join(contacts, "union_id", "left")
-    columns = ["store_code", "counts_as", "is_new", "is_old"]
-    is_buyer, is_added = F.col("counts_as") == "buyer", F.col("counts_as") == "added"
+    kinds = {dict(members.dtypes)[c] for c in ("member_id", "union_id")}
+    kind = kinds.pop() if len(kinds) == 1 else "string"
+
+    def tagged(name: str, column: str) -> Column:
+        return F.struct(F.lit(name).alias("counts_as"), F.col(column).cast(kind).alias("id"))
+
+    both = F.explode(F.array(tagged("buyer", "member_id"), tagged("added", "union_id")))
+    ids = members.select("store_code", "is_new", "is_old", both.alias("one")).select(
+        "store_code", "one.counts_as", "one.id", "is_new", "is_old"
+    )
+    per_id = (
+        ids.filter(F.col("id").isNotNull())
+        .groupBy("store_code", "counts_as", "id")
+        .agg(F.bool_or("is_new").alias("is_new"), F.bool_or("is_old").alias("is_old"))
+    )
+    contacts = contact_ids(contact, cfg).select(
+        F.lit("added").alias("counts_as"), F.col("union_id").cast(kind).alias("id"), F.lit(True).alias("known")
+    )
+    is_buyer, is_added = F.col("counts_as") == "buyer", F.col("known").isNotNull()
     return (
-        buyers.select(*columns)
-        .union(added.select(*columns))
+        per_id.join(contacts, ["counts_as", "id"], "left")
         .groupBy("store_code")
         .agg(
             F.count_if(is_buyer).alias("buyers"),
@@ -161,7 +174,7 @@ def conversion_detail(
         .select(*DETAIL_KEYS)
         .distinct()
     )
-    counts = store_counts(qualifying_members(member, purchase, goods, cfg), contact, cfg)
+    counts = store_counts(qualifying_rows(member, purchase, goods, cfg), contact, cfg)
     return (
         stores.join(counts, "store_code")
         .join(copies, "store_code")

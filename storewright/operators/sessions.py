@@ -200,6 +200,8 @@ def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec) -> DataF
     are narrow here and nothing is computed on the hash afterwards, so AQE can
     split that partition.
     """
+    if "failure" not in labels.columns:
+        labels = labels.withColumn("failure", F.lit(None).cast("string"))
     sessions = texts.select("session_id", text_hash(F.col("text")).alias("text_hash"))
     return sessions.join(labels, "text_hash", "left").select(
         "session_id",
