@@ -56,7 +56,7 @@ class JoinSpec:
     percent: int = 75
     bucket_bytes: int = 4_000_000
     star_rounds: int = 24
-    leaders: int = 16
+    leaders: int = 6
     pairs_each: int = 4
 
 
@@ -328,10 +328,9 @@ def _merged_roots(spark: SparkSession, roots: DataFrame, found: DataFrame) -> Da
 
 
 def _pairs_left(postings: DataFrame) -> tuple[int, int]:
-    """How many pairs of different components the lists hold, before any filter, and how many postings there are."""
-    parts = postings.groupBy("token", "root").agg(F.count("*").cast("double").alias("n"))
-    lists = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    left, held = lists.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2), F.sum("n")).first()
+    """How many pairs the lists hold at most, before any filter, and how many postings there are."""
+    lists = postings.groupBy("token").agg(F.count("*").cast("double").alias("n"))
+    left, held = lists.agg(F.sum(F.col("n") * (F.col("n") - 1) / 2), F.sum("n")).first()
     return int(left or 0), int(held or 0)
 
 
