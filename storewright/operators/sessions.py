@@ -193,8 +193,8 @@ def text_labels(
     return parse_answers(ask_classifier(distinct_prompts(texts, spec), classifier_factory, tasks, batch_size), spec)
 
 
-def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec) -> DataFrame:
-    """Labels per session: (session_id, is_service, category, label_status, failure).
+def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec, with_hash: bool = False) -> DataFrame:
+    """Labels per session: (session_id, is_service, category, label_status, failure), and ``text_hash`` if asked for.
 
     A text copied into a third of all sessions makes one hot hash. Both sides
     are narrow here and nothing is computed on the hash afterwards, so AQE can
@@ -213,6 +213,7 @@ def attach_labels(texts: DataFrame, labels: DataFrame, spec: LabelSpec) -> DataF
         .alias("category"),
         F.coalesce("label_status", F.lit("failed")).alias("label_status"),
         F.when(F.col("label_status").isNull(), "no text").otherwise(F.col("failure")).alias("failure"),
+        *(["text_hash"] if with_hash else []),
     )
 
 
