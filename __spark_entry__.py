@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ from storewright import fixed_values as fixed
 from storewright import standins
 from storewright.config import LabelSpec, StockConfig
 from storewright.functions import periods, rates, text
-from storewright.operators import catalog, conversion, reports, rollups, sessions
+from storewright.operators import catalog, conversion, questions, reports, rollups, sessions
 from storewright.operators import stock as stock_ops
 from storewright.operators.label_log import LabelLog
+from storewright.operators.repair import repair_columns
+from storewright.plans import member_conversion
 from storewright.session import shared_folder
 from storewright.sources import readers, writers
+from storewright.sources.publish import published_paths
 from storewright.standins import BOT, CONFIG, TOPIC_RULES, oracle_tables
 
 try:  # the folder of the training-data operators may be left out
@@ -99,6 +103,56 @@ def _mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _misread(df: DataFrame, column: str, labels: tuple) -> DataFrame:
+    """``df`` as a source delivers it that takes the bytes of these labels for Latin-1."""
+    delivered = F.col(column)
+    for label in labels:
+        delivered = F.when(F.col(column) == label, label.encode("gbk").decode("latin-1")).otherwise(delivered)
+    return df.withColumn(column, delivered)
+
+
+def _misread_shop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both label columns wrongly decoded."""
+    shop = _misread(standins.shop(spark, sf_dir), "store_type", (CONFIG.agent_store_type,))
+    return _misread(shop, "region", (CONFIG.excluded_region,))
+
+
+def _source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables with the headers of the sources, everything as text, blanks around the store codes."""
+    padded = {"shop": "store_code", "member": "service_store"}
+    out = {}
+    for name, (names, _, _, _) in member_conversion.SOURCES.items():
+        df = _misread_shop(spark, sf_dir) if name == "shop" else getattr(standins, name)(spark, sf_dir)
+        df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        if name in padded:
+            df = df.withColumn(padded[name], F.concat(F.lit(" "), padded[name], F.lit("  ")))
+        out[name] = df.withColumnsRenamed({ours: theirs for theirs, ours in names.items()})
+    return out
+
+
+_SOURCE_CONFIG = replace(CONFIG, excluded_skus=tuple(map(str, CONFIG.excluded_skus)))
+_SOURCE_MISREAD = {"shop": ["store_type", "region"]}
+
+
+def _published_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the whole job, from the headers of the sources to what it has published."""
+    out = shared_folder(spark)
+    sources = _source_tables(spark, sf_dir)
+    member_conversion.run_from_source(spark, sources, _SOURCE_CONFIG, out, misread=_SOURCE_MISREAD)
+    return spark.read.parquet(published_paths(spark, out)[name])
+
+
+def _load_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases of which some figures and days are words, and stores of which some are listed twice."""
+    sources = _source_tables(spark, sf_dir)
+    amount, day, code, customer = "金额", "消费时间", "门店代码", F.col("会员号").cast("long")
+    bad = sources["purchase"].withColumn(amount, F.when(customer % 5 == 0, "none").otherwise(F.col(amount)))
+    sources["purchase"] = bad.withColumn(day, F.when(customer % 7 == 0, "?").otherwise(F.col(day)))
+    twice = sources["shop"].filter(F.trim(code).cast("long") % 4 == 0)
+    sources["shop"] = sources["shop"].unionByName(twice)
+    return member_conversion.load(sources, _SOURCE_MISREAD)[1]
+
+
 def _windows(columns) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         days = standins.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
@@ -152,6 +206,12 @@ def _labelled_in_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.attach_labels(texts, sessions.parse_answers(log.latest(), SPEC), SPEC)
 
 
+def _frequent_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = standins.asked(spark, sf_dir)
+    asked = rows.select("category", sessions.text_hash(F.col("text")).alias("question"))
+    return questions.top_questions(spark, asked, rows, 5, shared_folder(spark), tracked=256)
+
+
 def _parsed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions.parse_answers(standins.answer(spark, sf_dir), SPEC)
 
@@ -253,6 +313,10 @@ def _retail_queries() -> dict[str, Query]:
         "safe_rates": lambda s, d: _rounded(_safe_rates(s, d)),
         "store_type_map": _store_type_map,
         "mojibake_repair": _mojibake_repair,
+        "repaired_labels": lambda s, d: repair_columns(_misread_shop(s, d), ["store_type", "region"]),
+        "source_to_report": lambda s, d: _rounded(_published_table(s, d, "region")),
+        "source_to_display": lambda s, d: _published_table(s, d, "region_display"),
+        "load_checks": _load_checks,
         "buying_members": lambda s, d: conversion.buying_members(
             standins.purchase(s, d), standins.goods(s, d), CONFIG
         ),
@@ -285,6 +349,7 @@ def _retail_queries() -> dict[str, Query]:
         "classified_sessions": _classified_sessions,
         "labelled_in_rounds": _labelled_in_rounds,
         "label_failures": lambda s, d: sessions.failure_counts(_classified_sessions(s, d)),
+        "frequent_questions": _frequent_questions,
         "category_frequency": lambda s, d: _rounded(sessions.category_frequency(_keyword_labels(s, d))),
         "top_categories": lambda s, d: _rounded(sessions.category_frequency(_keyword_labels(s, d), k=2)),
         # gift stock
@@ -385,6 +450,11 @@ _REGION = (
     f"SELECT 'region' AS level, region, {_weighted_sql('overall')}, {_MEANS} FROM rated GROUP BY region "
     f"UNION ALL {_NATIONAL}"
 )
+_DISPLAY = (
+    "SELECT level, region, "
+    + ", ".join(f"printf('%.1f%%', round({c} * 100, 1)) AS {c}" for c in rollups.rate_columns())
+    + f" FROM ({_REGION})"
+)
 _SUBREGION = (
     f"SELECT subregion, {_weighted_sql('overall')}, {_MEANS} FROM rated "
     "WHERE subregion IS NOT NULL GROUP BY subregion"
@@ -490,6 +560,16 @@ def _retail_sql() -> dict[str, str]:
         "mojibake_repair": f"""
             SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '{fixed.OWN_LABEL}' WHEN 1 THEN '{fixed.AGENT_LABEL}'
                    WHEN 2 THEN '{fixed.OWN_LABEL}' END AS store_type FROM supplier""",
+        "repaired_labels": f"WITH {oracle_tables('shop')} SELECT * FROM shop",
+        "source_to_report": _conversion_sql(_REGION),
+        "source_to_display": _conversion_sql(_DISPLAY),
+        "load_checks": f"""
+            WITH {oracle_tables('shop', 'purchase', 'member', 'goods', 'contact')}, kinds(name, problem) AS (VALUES
+                ('member', 'registered_at does not fit'), ('contact', 'added_at does not fit'), ('shop', 'no key'))
+            SELECT name, problem, CAST(0 AS BIGINT) AS rows FROM kinds
+            UNION ALL SELECT 'shop', 'repeated key', count(*) FROM shop WHERE store_code % 4 = 0
+            UNION ALL SELECT 'purchase', 'amount does not fit', count(*) FROM purchase WHERE member_id % 5 = 0
+            UNION ALL SELECT 'purchase', 'purchased_at does not fit', count(*) FROM purchase WHERE member_id % 7 = 0""",
         "buying_members": f"""
             WITH {oracle_tables('purchase', 'goods')}
             SELECT DISTINCT c.member_id FROM purchase c JOIN goods g ON g.sku = c.sku
@@ -521,11 +601,7 @@ def _retail_sql() -> dict[str, str]:
             f"SELECT store_name, {_mean_sql('overall')}, {_MEANS} FROM rated "
             "WHERE store_name IS NOT NULL GROUP BY store_name"
         ),
-        "percent_view": _conversion_sql(
-            "SELECT level, region, "
-            + ", ".join(f"printf('%.1f%%', round({c} * 100, 1)) AS {c}" for c in rollups.rate_columns())
-            + f" FROM ({_REGION})"
-        ),
+        "percent_view": _conversion_sql(_DISPLAY),
         "group_totals": _conversion_sql(
             "SELECT d.*, t.* EXCLUDE (region) FROM detail d "
             f"JOIN (SELECT region, {_weighted_sql('overall')} FROM detail GROUP BY region) t "
@@ -576,6 +652,11 @@ def _retail_sql() -> dict[str, str]:
         "label_failures": _texts_sql(
             f"SELECT failure, count(*) AS sessions FROM ({_CLASSIFIED}) WHERE label_status = 'failed' GROUP BY failure"
         ),
+        "frequent_questions": f"""
+            WITH {oracle_tables('asked')},
+            counts AS (SELECT category, text AS question, count(*) AS sessions FROM asked WHERE text IS NOT NULL GROUP BY ALL)
+            SELECT category, CAST(row_number() OVER (PARTITION BY category ORDER BY sessions DESC, sha256(question)) AS INTEGER)
+                   AS rank, question, sessions FROM counts QUALIFY rank <= 5""",
         "category_frequency": _texts_sql(_FREQUENCY),
         "top_categories": _texts_sql(f"{_FREQUENCY} ORDER BY sessions DESC, category LIMIT 2"),
         "stock_mismatch": _stock_sql("SELECT * FROM mismatch"),

@@ -164,6 +164,34 @@ def jdbc_options(
     return out
 
 
-def read_jdbc(spark: SparkSession, **settings) -> DataFrame:
-    """Read through `jdbc_options`. A database error fails the job."""
-    return spark.read.format("jdbc").options(**jdbc_options(**settings)).load()
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str | None = None,
+    query: str | None = None,
+    key: str | None = None,
+    ranges: int | None = None,
+    small: bool = False,
+    **options: str,
+) -> DataFrame:
+    """A table or a query of a database; a database error fails the job.
+
+    ``key``, a column of numbers, dates or timestamps, splits the read into
+    ``ranges`` between its least and greatest value, which are asked first; rows
+    without a key go with the first range. Without a key one task reads everything,
+    so that has to be asked for by ``small``.
+    """
+    if (key is None) == (not small) or (key is None) != (ranges is None):
+        raise ValueError("give a key and the number of ranges, or say that the read is small")
+    source = jdbc_options(url, table, query, **options)
+    if key is not None:
+        asked = {**jdbc_options(url, query=bounds_query(key, table, query)), **options}
+        least, greatest = spark.read.format("jdbc").options(**asked).load().first()
+        if least is not None:
+            source = jdbc_options(url, table, query, (key, least, greatest, ranges), **options)
+    return spark.read.format("jdbc").options(**source).load()
+
+
+def bounds_query(key: str, table: str | None = None, query: str | None = None) -> str:
+    """The least and the greatest key, in SQL."""
+    return f"SELECT MIN({key}) AS least, MAX({key}) AS greatest FROM {table or f'({query}) q'}"

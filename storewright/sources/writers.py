@@ -29,15 +29,23 @@ def write_accepted(rows: DataFrame, corrupt: str, accepted: str, quarantine: str
     write_table(rows.filter(F.col(corrupt).isNotNull()), quarantine)
 
 
-def write_adjustments(adjustments: DataFrame, path: str, source_headers: bool = True) -> None:
-    """One folder of CSV per product title.
+def write_adjustments(
+    adjustments: DataFrame, path: str, source_headers: bool = True, by_title: bool = True
+) -> None:
+    """One folder of CSV per product title, or without ``by_title`` one table with the title as its last column.
 
     ``rebalance`` brings a title's rows together, so that small titles give one
-    file each, and lets AQE split a title that is too large for one task.
+    file each, and lets AQE split a title that is too large for one task. For
+    millions of titles take the one table: its files hold many titles each, with the
+    rows of a title next to each other.
     """
     rows = adjustments.hint("rebalance", F.col("title"))
     if source_headers:
         rows = rows.withColumnsRenamed(fixed.ADJUSTMENT_HEADERS)
+    if not by_title:
+        columns = [c for c in rows.columns if c != "title"]
+        write_table(rows.select(*columns, "title").sortWithinPartitions("title"), path, "csv")
+        return
     rows.write.mode("overwrite").partitionBy("title").csv(path, header=True, encoding="UTF-8")
 
 

@@ -215,6 +215,19 @@ def answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question per order with a category, in some rows without one: one in a third of them, common ones, rare ones."""
+    customer = F.col("o_custkey")
+    return table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 17 != 0, F.col("o_orderpriority")).alias("category"),
+        F.when(F.col("o_orderkey") % 3 == 0, "When will my order arrive?")
+        .when(F.col("o_orderkey") % 19 == 0, None)
+        .when(customer % 2 == 0, F.concat(F.lit("Is article "), F.floor(F.sqrt(customer)).cast("string"), F.lit(" sold?")))
+        .otherwise(F.concat(F.lit("Who is customer "), customer.cast("string"), F.lit("?")))
+        .alias("text"),
+    )
+
+
 # The same tables in SQL for DuckDB.
 ORACLE = {
     "shop": """
@@ -268,6 +281,13 @@ ORACLE = {
                u.role || ' 2024-01-01 10:00:00' || chr(10) || u.text || chr(10)
                || r.role || ' 2024-01-01 10:00:00' || chr(10) || r.text AS transcript
         FROM conversations u LEFT JOIN conversations r ON r.conv_id = u.conv_id AND r.turn = u.turn + 1""",
+    "asked": """
+        SELECT CASE WHEN o_orderkey % 17 <> 0 THEN o_orderpriority END AS category,
+               CASE WHEN o_orderkey % 3 = 0 THEN 'When will my order arrive?'
+                    WHEN o_orderkey % 19 = 0 THEN NULL
+                    WHEN o_custkey % 2 = 0 THEN 'Is article ' || CAST(CAST(floor(sqrt(o_custkey)) AS BIGINT) AS VARCHAR) || ' sold?'
+                    ELSE 'Who is customer ' || CAST(o_custkey AS VARCHAR) || '?' END AS text
+        FROM orders""",
     "answer": """
         SELECT doc_id, CASE doc_id % 9
             WHEN 0 THEN chr(10) || chr(10) || '```json' || chr(10) || pair || chr(10) || '```'

@@ -22,7 +22,7 @@ from storewright.sources.writers import write_adjustments
 
 SF = "/root/testdata/sf0.001"
 NAMES = ("shop", "member", "purchase", "goods", "contact")
-PYTHON_QUERIES = {"mojibake_repair", "classified_sessions", "label_failures"}
+PYTHON_QUERIES = {"mojibake_repair", "repaired_labels", "classified_sessions", "label_failures"}
 
 
 @pytest.fixture(scope="module")
