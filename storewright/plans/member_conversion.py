@@ -15,6 +15,7 @@ from storewright.operators.repair import repair_columns
 from storewright.schemas import DETAIL_COUNTS, DETAIL_KEYS, rename_columns, trim_keys
 from storewright.sources.checks import load_checks, refuse, typed
 from storewright.sources.publish import Run
+from storewright.sources.writers import write_table
 
 TABLES = ("shop", "member", "purchase", "goods", "contact")
 # Per table: the names at the source, the types wanted, the keys that are stripped of blanks, the key that has to be unique.
@@ -79,6 +80,9 @@ def run_from_source(
     run = Run(spark, out)
     tables, checks = load(sources, misread)
     refuse(spark.read.parquet(run.write("load_checks", checks)), allowed)
+    for name in misread:  # a repaired table is read more than once
+        write_table(tables[name], f"{run.folder}/loaded/{name}")
+        tables[name] = spark.read.parquet(f"{run.folder}/loaded/{name}")
     return _report(run, tables, cfg, lagging).publish()
 
 
