@@ -5,8 +5,11 @@ bytes. A passage of m bytes occurs when some part of a document is within k
 edits of the whole of it, k = min(rate * m, what the lemma allows). Such a part
 shares at least t = m - q + 1 - k * q of the passage's q-grams, on diagonals
 that differ by at most k. Shared q-grams are counted in bands of 2 (k + 1)
-diagonals that overlap by half; bands with t or more are verified. A passage of
-fewer than q bytes occurs where its bytes do, neither beginning nor ending
+diagonals that overlap by half; bands with t or more are verified. Of any s of the
+passage's q-grams at least s - k * q are shared, so q-grams that many places of
+the benchmark have, as of a common template, are left out of the index as long
+as more than k * q others are there; they are counted only in the bands that
+reach the rest. Results are the same. A passage of fewer than q bytes occurs where its bytes do, neither beginning nor ending
 within a word (letters, marks, digits, underscore).
 
 Distinct passages are dealt to written parts of about ``part_bytes`` bytes; their
@@ -29,11 +32,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from storewright.llm.chunks import Chunk, write_chunks
+from storewright.llm.chunks import Chunk, ragged, write_chunks
 from storewright.llm.workers import releasing
 from storewright.session import shared_folder
 
@@ -42,6 +46,9 @@ PARTS = "part long, texts array<string>"
 MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 FILTER_BITS = 22
 SLICE_BYTES = 2_000_000
+OFTEN = 16  # a q-gram in more places of a part is looked up only where the lemma needs it
+ENTRIES = 2_000_000  # shared q-grams that are expanded at a time
+COMPARED = 4_000_000  # places of a band in which the left out q-grams are counted before it is aligned
 
 
 @dataclass(frozen=True)
@@ -101,6 +108,9 @@ def banded_distance(pattern: np.ndarray, text: np.ndarray, low: int, high: int,
     A diagonal is text position minus pattern position. Costs and starts are
     kept together in one number, so the smaller start wins among equal costs.
     """
+    whole = text.tobytes().find(pattern.tobytes(), max(0, low))
+    if 0 <= whole <= high:
+        return 0, whole, whole + len(pattern)
     diagonals = np.arange(low, high + 1, dtype=np.int64)
     big = np.int64(1) << 40
     valid = (diagonals >= 0) & (diagonals <= len(text))
@@ -122,12 +132,36 @@ def banded_distance(pattern: np.ndarray, text: np.ndarray, low: int, high: int,
     return int(row[best] // big), int(row[best] % big), int(diagonals[best]) + len(pattern)
 
 
+def _pieces(count: np.ndarray, cuts: np.ndarray | None, base: int = 0) -> Iterator[tuple[int, int]]:
+    """Ranges, of about ENTRIES by ``count`` or of a single row, that end at one of the ``cuts`` (None: anywhere)."""
+    ends = np.arange(1, len(count) + 1) if cuts is None else np.append(cuts, len(count))
+    total, begin = np.cumsum(count)[ends - 1], 0
+    while begin < len(ends):
+        before = total[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(total, before + ENTRIES, "right")))
+        yield base + (int(ends[begin - 1]) if begin else 0), base + int(ends[stop - 1])
+        begin = stop
+
+
+def _summed(doc: np.ndarray, item: np.ndarray, half: np.ndarray, band: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row per band, its counts added up."""
+    keys = (band, half, item, doc)
+    order = np.lexsort(keys)
+    changes = np.zeros(len(order) - 1, bool)
+    for key in keys:
+        changes |= key[order[1:]] != key[order[:-1]]
+    new = np.flatnonzero(np.concatenate(([True], changes)))
+    rows = order[new]
+    return doc[rows], item[rows], half[rows], band[rows], np.add.reduceat(shared[order], new)
+
+
 class Leaks:
     """Index of the q-grams of one part of the benchmark."""
 
     def __init__(self, items: list[tuple[int | None, str]], spec: LeakSpec):
         self.spec, self.items = spec, []
         grams, owner, place = [], [], []
+        self.hashes: list[np.ndarray] = []
         short: dict[int, dict[bytes, list[int]]] = {}
         for item_id, text in items:
             data = compared(text)
@@ -135,6 +169,7 @@ class Leaks:
                 if data:
                     short.setdefault(len(data), {}).setdefault(data, []).append(len(self.items))
                     self.items.append((item_id, np.frombuffer(data, np.uint8), 0, 1))
+                    self.hashes.append(np.zeros(0, np.uint64))
                 continue
             hashes = gram_hashes(data, spec.q)
             k = max(0, min(int(spec.rate * len(data)), (len(data) - spec.q) // spec.q))
@@ -142,16 +177,18 @@ class Leaks:
             owner.append(np.full(len(hashes), len(self.items)))
             place.append(np.arange(len(hashes)))
             self.items.append((item_id, np.frombuffer(data, np.uint8), k, len(hashes) - k * spec.q))
+            self.hashes.append(hashes)
         empty = np.zeros(0, np.int64)
         grams = np.concatenate([np.zeros(0, np.uint64), *grams])
         order = np.argsort(grams, kind="stable")
         self.grams = grams[order]
         self.owner = np.concatenate([empty, *owner])[order]
         self.place = np.concatenate([empty, *place])[order]
-        self.seen = np.zeros(1 << FILTER_BITS, bool)
-        self.seen[self.grams >> np.uint64(64 - FILTER_BITS)] = True
         self.k = np.array([x[2] for x in self.items], np.int64)
         self.least = np.array([x[3] for x in self.items], np.int64)
+        self.kept = self._leave_out_frequent()
+        self.seen = np.zeros(1 << FILTER_BITS, bool)
+        self.seen[self.grams >> np.uint64(64 - FILTER_BITS)] = True
         self.short = []  # of each length: hashes in order, first and last bytes, items
         for n, known in short.items():
             pairs = [ends_of_grams(data, n) for data in known]
@@ -160,6 +197,20 @@ class Leaks:
             order, own = np.argsort(hashes, kind="stable"), list(known.values())
             self.short.append((n, hashes[order], first[order], last[order], [own[i] for i in order]))
 
+    def _leave_out_frequent(self) -> np.ndarray:
+        """Per item how many of its q-grams stay in the index: all rare ones, and at least k * q + 1."""
+        sizes = np.array([len(h) for h in self.hashes], np.int64)
+        if not len(self.grams):
+            return sizes
+        edges = np.flatnonzero(np.concatenate(([True], self.grams[1:] != self.grams[:-1], [True])))
+        places = np.repeat(np.diff(edges), np.diff(edges))
+        order = np.lexsort((self.place, places, self.owner))  # of each item, the rarest first
+        nth = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        stays = np.zeros(len(order), bool)
+        stays[order] = (places[order] <= OFTEN) | (nth <= self.k[self.owner[order]] * self.spec.q)
+        self.grams, self.owner, self.place = self.grams[stays], self.owner[stays], self.place[stays]
+        return np.bincount(self.owner, minlength=len(sizes))
+
     def regions(self, data: bytes, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(document, item, lowest diagonal) of bands with enough shared q-grams, diagonals from the document's start."""
         hashes = gram_hashes(data, self.spec.q)
@@ -169,18 +220,35 @@ class Leaks:
         at, first, count = at[count > 0], first[count > 0], count[count > 0]
         if not len(at):
             return
-        entry = np.repeat(first - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
+        least = self.kept - self.k * self.spec.q  # of the q-grams in the index
+        partial = self.kept < self.least + self.k * self.spec.q
+        doc = np.searchsorted(starts, at, "right") - 1
+        for a, b in _pieces(count, np.flatnonzero(doc[1:] != doc[:-1]) + 1):  # whole documents
+            bands = [self._bands(at[i:j], first[i:j], count[i:j], starts) for i, j in _pieces(count[a:b], None, a)]
+            d, i, half, band, shared = _summed(*(np.concatenate(x) for x in zip(*bands, strict=True)))
+            low = (2 * band - half) * (self.k[i] + 1)
+            for n in np.flatnonzero(shared >= least[i]):
+                if not partial[i[n]] or self._enough(hashes, int(starts[d[n]] + low[n]), int(i[n])):
+                    yield int(d[n]), int(i[n]), int(low[n])
+
+    def _bands(self, at: np.ndarray, first: np.ndarray, count: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(document, item, half, band, shared q-grams) of bands of two widths; half 1 is the set moved by one width."""
+        entry = ragged(first, count)
         item, doc = self.owner[entry], np.repeat(np.searchsorted(starts, at, "right") - 1, count)
         diagonal = np.repeat(at, count) - starts[doc] - self.place[entry]
         width = self.k[item] + 1
-        for half in (0, 1):  # bands of two widths, the second set moved by one width
-            band = (diagonal + half * width) // (2 * width)
-            order = np.lexsort((band, item, doc))
-            d, i, b = doc[order], item[order], band[order]
-            new = np.flatnonzero(np.concatenate(([True], (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] != b[:-1]))))
-            shared = np.diff(np.append(new, len(d)))
-            for j in new[shared >= self.least[i[new]]]:
-                yield int(d[j]), int(i[j]), int(b[j] * 2 * (self.k[i[j]] + 1) - half * (self.k[i[j]] + 1))
+        sets = [(doc, item, np.full(len(doc), h), (diagonal + h * width) // (2 * width), np.ones_like(doc)) for h in (0, 1)]
+        return _summed(*(np.concatenate(x) for x in zip(*sets, strict=True)))
+
+    def _enough(self, hashes: np.ndarray, low: int, item: int) -> bool:
+        """Whether a band can share enough of all q-grams of an item, those left out of the index too."""
+        own, diagonals = self.hashes[item], 2 * (int(self.k[item]) + 1)
+        if len(own) * diagonals > COMPARED:
+            return True
+        window = np.zeros(len(own) + diagonals - 1, np.uint64)
+        begin, end = max(0, low), min(len(hashes), low + len(window))
+        window[begin - low : max(begin, end) - low] = hashes[begin : max(begin, end)]
+        return int((sliding_window_view(window, len(own)) == own).sum()) >= self.least[item]
 
     def short_places(self, data: bytes, starts: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(document, item, start, end) of the first occurrences of passages shorter than a q-gram."""

@@ -352,6 +352,35 @@ def test_large_benchmarks_stay_off_the_driver(spark, monkeypatch):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(d, t, 1, "x", "y") for d, t in clean], key=repr)
 
 
+@pytest.mark.parametrize("often, entries", [(16, 2_000_000), (3, 50)])
+def test_passages_of_a_template(monkeypatch, often, entries):
+    """Passages that begin alike: the common q-grams are left out of the index, the hits stay those of all alignments."""
+    monkeypatch.setattr(decontaminate, "OFTEN", often)
+    monkeypatch.setattr(decontaminate, "ENTRIES", entries)
+    rng = random.Random(8)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+    head = "read the passage and answer the question below. q: "
+    items = [head + words(rng.randint(4, 9)) for _ in range(24)]
+    texts = [head + words(6) for _ in range(6)] + [None, "", head * 3]
+    for item in items[:8]:
+        at = rng.randrange(len(head), len(item))
+        texts.append(f"{words(3)} {item[:at]}{rng.choice(['', 'z', 'zz'])}{item[at + rng.randint(0, 1):]} {words(3)}")
+    leaks = decontaminate.Leaks(list(enumerate(items)), decontaminate.LeakSpec())
+    assert leaks.kept.sum() < sum(len(h) for h in leaks.hashes)
+    found = leaks.find(texts)
+    for text, hits in zip(texts, found, strict=True):
+        data, want = np.frombuffer((text or "").encode(), np.uint8), {}
+        for n, (_, pattern, k, _) in enumerate(leaks.items):
+            if len(data) + k >= len(pattern):
+                distance = decontaminate.banded_distance(pattern, data, -k, max(0, len(data) - len(pattern)) + k, k)[0]
+                want |= {n: distance} if distance <= k else {}
+        assert {item: distance for item, _, _, distance in hits} == want
+    assert sum(map(bool, found)) >= 8
+
+
 def test_short_passages_are_found(spark):
     items = [
         (1, "7 * 8 = 56"), (2, "Who wrote  Hamlet?"), (3, "12 + 30 = 42, is it so?"), (4, "x=1"), (5, "été"), (6, "X=1"),
