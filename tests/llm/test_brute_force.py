@@ -303,6 +303,34 @@ def test_top_k(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found) == want
 
 
+def test_top_k_of_repeated_rows_and_empty_tables(spark):
+    rows = [(i, [float(v) for v in ((i * 7) % 5, -(i % 3), 1)], "z", 0) for i in range(40)]
+    table = spark.createDataFrame(rows + rows[:10], "vec_id long, embedding array<double>, vector string, part int")
+    vectors = topk.scaled(table)
+    plain = [(i, [int(256 * v) for v in e]) for i, e, *_ in rows + rows[:10]]
+    want = set()
+    for q, vector in plain[:40:20]:
+        scores = sorted((-sum(a * b for a, b in zip(vector, other, strict=True)), i) for i, other in plain if i != q)
+        want |= {(q, rank, i, -score) for rank, (score, i) in enumerate(scores[:5], 1)}
+    got = topk.top_k(vectors.filter("vec_id % 20 = 0"), vectors, 5, block=8).collect()
+    assert {tuple(r) for r in got} == want and len(got) == 10
+    assert topk.top_k(vectors.limit(0), vectors).isEmpty() and topk.top_k(vectors, vectors.limit(0)).isEmpty()
+
+
+@pytest.mark.parametrize("reached", [False, True])
+def test_top_k_stops_reading(reached):
+    """Vectors of few large components: lists are left early, few candidates are scored, no one is lost."""
+    rng = np.random.default_rng(4)
+    vectors = (rng.random((2000, 12)) ** 8 * 1000).astype(np.int64)
+    block = topk.SortedLists(np.arange(2000), vectors)
+    for own in range(20):
+        scores = vectors @ vectors[own]
+        want = [i for i in np.lexsort((np.arange(2000), -scores)) if i != own][:5]
+        ids, found = block.search(vectors[own], own, 5, int(scores[want[-1]]) if reached else None)
+        assert [int(i) for i in ids[np.lexsort((ids, -found))[:5]]] == want
+    assert block.read < 0.6 * 20 * 2000 and block.resolved < 0.2 * 20 * 2000
+
+
 def test_leaks_are_found_with_edits(spark):
     rng = random.Random(9)
     text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
