@@ -98,8 +98,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
         for batch in batches:
             rows = [
                 (doc, *piece)
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                for piece in cut_pieces(bpe.ids(text.as_py() or "") + end, capacity)
+                for doc, ids in zip(batch.column(0).to_pylist(), bpe.ids(batch.column(1)), strict=True)
+                for piece in cut_pieces(ids + end, capacity)
             ]
             columns = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())

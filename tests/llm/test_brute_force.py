@@ -11,12 +11,14 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from storewright.llm import (
-    chat, context_tree, decontaminate, jaccard_join, langid, packing, rindex, suffix_dedup, topk, toxicity, trie_counts,
+    chat, context_tree, decontaminate, jaccard_join, langid, packing, rindex, suffix_dedup, tokens, topk, toxicity,
+    trie_counts,
 )
 from storewright.llm.queries import CHAIN, HOSTILE, PACKING
 
@@ -181,6 +183,26 @@ def test_packing_round_trip(spark, rows):
         assert end <= 64
 
 
+@pytest.mark.parametrize(("slice_bytes", "cache_entries"), [(4_000_000, 200_000), (3_000, 50)])
+def test_distinct_cuts_are_encoded_in_one_call(monkeypatch, slice_bytes, cache_entries):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", cache_entries)
+    bpe, calls = tokens.ByteBpe(PACKING["tokenizer"]), []
+    unmodified = Tokenizer.from_file(PACKING["tokenizer"])
+    encode = bpe.plain.encode_ordinary
+    monkeypatch.setattr(bpe.plain, "encode_ordinary", lambda text: calls.append(text) or encode(text))
+    rng = random.Random(4)
+    words = [rng.choice("aeo.") + "".join(rng.choices("aeiouété\n\t'.,1", k=rng.randint(1, 9))) for _ in range(6_000)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(300)]
+    texts += [None, "", " ", "a ", " a", "a  b", "a \n \nb", "a\xa0 \xa0 \xa0", "日本 x’s 日本", "y" * 2_500 + " z", "q <|endoftext|> q"]
+    want = [np.array(unmodified.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(bpe.ids(pa.array(texts))) == want
+    if slice_bytes > 3_000:  # one call for the beginning of each text, one for all the rest
+        assert len(calls) <= len(texts) + 200 < len({c for t in texts[:300] for c in t.split(" ")})
+    assert len(bpe.cache) <= cache_entries
+    assert list(bpe.ids(pa.array([], pa.string()))) == []
+
+
 def test_best_fit_takes_the_tightest_bin():
     rng = random.Random(2)
     lengths = sorted((rng.randint(1, 100) for _ in range(400)), reverse=True)
