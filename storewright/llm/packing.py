@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storewright.llm.tokens import byte_bpe
-from storewright.llm.workers import releasing
+from storewright.llm.tokens import SLICE_BYTES, byte_bpe
+from storewright.llm.workers import arrow_batches, give_back, releasing
 from storewright.session import shared_folder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -107,6 +107,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+            give_back()
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(releasing(cut), PIECES)
 
@@ -121,7 +122,9 @@ def pack(
 ) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     path = shared_folder(spark)
-    token_pieces(docs, tokenizer, end_id, capacity).write.parquet(path)
+    # An executor holds a batch several times over, in the JVM and in Python.
+    with arrow_batches(spark, SLICE_BYTES):
+        token_pieces(docs, tokenizer, end_id, capacity).write.parquet(path)
     # The rows of a written table have fixed numbers, also when a task runs again.
     pieces = spark.read.parquet(path).withColumn("row", F.monotonically_increasing_id())
     short = pieces.filter(F.col("length") < capacity)

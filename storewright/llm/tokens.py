@@ -2,7 +2,7 @@
 
 The pre-tokenizer never lets a piece reach over a space that follows a
 non-space, so a text without double spaces is cut at its spaces. The cuts of
-some megabytes of text are numbered by Arrow; each distinct one is looked up in a
+two megabytes of text are numbered by Arrow; each distinct one is looked up in a
 cache of bounded size, and those it lacks are encoded in one call. A text with two
 spaces in a row is encoded whole, and so is one with another blank before a space if
 an id of the vocabulary stands for both. Cuts with letters outside the
@@ -17,15 +17,15 @@ import json
 import os
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_ENTRIES = 200_000
-SLICE_BYTES = 4_000_000  # text whose cuts are numbered together
+CACHE_ENTRIES = 50_000
+SLICE_BYTES = 2_000_000  # text whose cuts are numbered together
 PLAIN = re.compile("[\t\n -~¡-ɏ]*")
 JOINABLE = re.compile("[!-~¡-ɏ][\t\n!-~¡-ɏ]*")  # a cut that may follow any other in one call
 LONG_CUT = 2_000  # a longer cut is encoded each time, not kept
@@ -45,9 +45,8 @@ class ByteBpe:
     def __init__(self, json_path: str):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(json_path)
+        self.json_path = json_path
         with open(json_path, encoding="utf-8") as f:
             told = json.load(f)
         vocabulary = told["model"]["vocab"]
@@ -64,6 +63,13 @@ class ByteBpe:
         self.plain = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The tokenizer itself, read once a text needs it: many tasks do without its memory."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json_path)
+
     def _encode(self, cut: str) -> bytes:
         if PLAIN.fullmatch(cut):
             ids = self.plain.encode_ordinary(cut)
@@ -146,8 +152,7 @@ def _printable_codes() -> Iterable[int]:
             beyond += 1
 
 
-@lru_cache(maxsize=2)
 def byte_bpe(json_path: str) -> ByteBpe:
-    """One per Python worker, so its cache serves all tasks of that worker."""
+    """One per task: Spark keeps its Python workers, and a kept tokenizer would take its memory from all later stages."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return ByteBpe(json_path)

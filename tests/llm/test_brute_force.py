@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from storewright.llm import (
     chat, context_tree, decontaminate, jaccard_join, langid, packing, rindex, suffix_dedup, tokens, topk, toxicity,
-    trie_counts,
+    trie_counts, workers,
 )
 from storewright.llm.queries import CHAIN, HOSTILE, PACKING
 
@@ -183,6 +183,41 @@ def test_packing_round_trip(spark, rows):
         assert end <= 64
 
 
+def test_packing_tasks_get_bounded_batches(spark, conf, monkeypatch):
+    class Sizes:
+        """Ids whose number tells the bytes of the batch that a text came in."""
+
+        def ids(self, texts):
+            yield from [bytes(4 * (texts.nbytes // 1_000))] * len(texts)
+
+    option = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(option, None)
+    monkeypatch.setattr(packing, "byte_bpe", lambda path: Sizes())
+    docs = spark.range(0, 300, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a"), 50_000).alias("text"))
+    found = packing.pack(spark, docs, "none", 2, 100_000).collect()
+    assert len(found) == 300 and max(r.length for r in found) <= 2_100
+    assert spark.conf.get(option, None) == before
+    conf(**{option.replace(".", "__"): "1000000"})
+    with pytest.raises(ValueError), workers.arrow_batches(spark, 5_000):
+        assert spark.conf.get(option) == "5000"
+        raise ValueError
+    assert spark.conf.get(option) == "1000000"
+
+
+def test_packing_leaves_no_tokenizer_in_its_workers(spark):
+    def left(batches):
+        import gc
+
+        for batch in batches:
+            gc.collect()
+            n = sum(type(o).__name__ == "ByteBpe" for o in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([n] * len(batch), pa.int64())], ["id"])
+
+    docs = spark.range(0, 64, 1, 8).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    assert packing.pack(spark, docs, **PACKING).count() == 64
+    assert {r.id for r in spark.range(0, 64, 1, 8).mapInArrow(left, "id long").collect()} == {0}
+
+
 @pytest.mark.parametrize(("slice_bytes", "cache_entries"), [(4_000_000, 200_000), (3_000, 50)])
 def test_distinct_cuts_are_encoded_in_one_call(monkeypatch, slice_bytes, cache_entries):
     monkeypatch.setattr(tokens, "SLICE_BYTES", slice_bytes)
