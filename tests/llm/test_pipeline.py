@@ -11,7 +11,9 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -160,6 +162,21 @@ def test_stages_keep_columns_of_any_name(spark, tables, name):
     assert empty.columns == docs.columns and empty.collect() == []
 
 
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_bound_the_bytes_of_a_batch(spark, tables, conf, name):
+    """Unless the session does, so that a batch does not grow with the length of texts."""
+    option = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf(**{option.replace(".", "__"): "9000000"})
+    stage, docs = dict(corpus_pipeline.STAGES)[name], spark.createDataFrame([], CLASHING)
+    stage(spark, docs, tables[0])
+    assert spark.conf.get(option) == "9000000"
+    spark.conf.unset(option)
+    stage(spark, docs, tables[0])
+    long = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("a"), 50_000).alias("text"))
+    sizes = long.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in bs), "n long").collect()
+    assert len(sizes) >= 4 and max(r.n for r in sizes) <= 4_200_000
+
+
 def test_packing_of_an_empty_table(spark, tables):
     assert corpus_pipeline.pack_sequences(spark, spark.createDataFrame([], CLASHING), tables[0]).collect() == []
 
