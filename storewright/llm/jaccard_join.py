@@ -17,9 +17,12 @@ than postings, and rounds still join components, stars compare each
 document with one, later a few, that lead most of its lists and belong to the largest
 component there; pairs are then made only between documents that are still in
 different components, so a group of thousands of copies costs its size and not
-its square. No pair is capped or dropped; a pair that meets too late in the
-order to link is not made. Sets of documents that have postings are stored
-once; intersections are built-in array functions.
+its square. Before they are made, a posting goes when nothing of another component
+in its list can link with it, the largest component of a list is not joined with
+itself, and parity bits bound from below in how many tokens two sets differ. No pair
+is capped or dropped; a pair that meets too late in the order to link, or whose
+bits differ in more places than a link allows, is not made. Sets of documents that
+have postings are stored once; intersections are built-in array functions.
 
 Tokens are 64-bit hashes. Defined results: a null or blank text has the empty
 set and links with nothing; a null id takes the component id of its component
@@ -30,6 +33,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +52,8 @@ KEYS, SETS, CHOSEN = 0, 1, 2
 ASKED = "kind int, bucket int, chunk long, keys binary, counts binary, more binary"
 CLASSES = "node long, chunk long, row long, doc_id long, n_shingles long, high long, low long"
 LEVELS = (1, 2, 4, 8, 16, 32, 64)
+PARITY_LONGS = 8  # 512 bits tell sets of some hundred tokens apart; larger sets only lose the filter
+SIZE_CLASSES = 4  # of each doubling of a set's size, for what a list holds
 SLICE_PAIRS = 4096  # pairs that one copy of a centre's set serves
 
 
@@ -208,7 +215,13 @@ def choose_matches(counts: np.ndarray, n: int, percent: int) -> int:
     return chosen
 
 
-PREFIXES = "node long, doc_id long, n long, least int, tokens binary, places binary, shingles binary"
+def parity(tokens: np.ndarray) -> bytes:
+    """One bit per class of tokens: whether a set has an odd number of them. Two sets differ in at least as many tokens as bits."""
+    bits = 64 * PARITY_LONGS
+    return np.packbits(np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+PREFIXES = "node long, doc_id long, n long, least int, tokens binary, places binary, shingles binary, parity binary"
 
 
 def prefixes(chunk: Chunk, answers: list[dict], spec: JoinSpec) -> Iterator[dict]:
@@ -233,7 +246,7 @@ def prefixes(chunk: Chunk, answers: list[dict], spec: JoinSpec) -> Iterator[dict
             continue
         for name, value in zip(
             out, (chunk.chunk << ROW_BITS | row, chunk.ids[row] if chunk.known[row] else None, n, least,
-                  own[met].tobytes(), places.astype(np.int64).tobytes(), own.tobytes()), strict=True,
+                  own[met].tobytes(), places.astype(np.int64).tobytes(), own.tobytes(), parity(own)), strict=True,
         ):
             out[name].append(value)
     yield out
@@ -245,7 +258,7 @@ def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = []
         for name in batch.schema.names:
             column = batch.column(name)
-            if name in ("tokens", "places", "shingles"):
+            if name in ("tokens", "places", "shingles", "parity"):
                 sizes = np.array([len(x.as_py()) // 8 for x in column], np.int64)
                 flat = np.frombuffer(b"".join(x.as_py() for x in column), np.int64)
                 column = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat)
@@ -253,7 +266,10 @@ def _as_arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
 
-ARRAYS = "node long, doc_id long, n long, least int, tokens array<long>, places array<long>, shingles array<long>"
+ARRAYS = (
+    "node long, doc_id long, n long, least int, tokens array<long>, places array<long>, shingles array<long>, "
+    "parity array<long>"
+)
 
 
 # --- links -------------------------------------------------------------------
@@ -340,19 +356,57 @@ def _mixed(postings: DataFrame) -> DataFrame:
     return postings.join(mixed.select("token"), "token", "left_semi")
 
 
-def _pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough prefix tokens; ``postings`` as `_mixed` leaves them."""
+def _reachable(postings: DataFrame, percent: int) -> DataFrame:
+    """The postings for which the sizes and places in their list let something of another component link.
+
+    A list is summed up per class of sizes, so what is looked at per posting
+    grows with the logarithm of the largest set.
+    """
+    tail = F.col("n") - F.col("place")
+    classes = postings.groupBy("token", F.floor(SIZE_CLASSES * F.log2("n")).alias("class")).agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max(tail).alias("tail"), F.max("least").alias("least"),
+        F.min("root").alias("a"), F.max("root").alias("b"),
+    )
+    met = classes.groupBy("token").agg(F.collect_list(F.struct("low", "high", "tail", "least", "a", "b")).alias("met"))
+
+    def links(x: Column) -> Column:
+        shared = F.least(tail, x["tail"]) + F.least("least", x["least"]) - 1
+        fits = 100 * F.least("n", x["high"]) >= percent * F.greatest("n", x["low"])
+        other = (x["a"] != F.col("root")) | (x["b"] != F.col("root"))
+        return other & fits & ((100 + percent) * shared >= percent * (F.col("n") + x["low"]))
+
+    return postings.join(met, "token").filter(F.exists("met", links)).drop("met")
+
+
+def _few_differences(percent: int) -> Column:
+    """Whether the parity bits leave a link possible: sets that link differ in at most (100 - percent) / (100 + percent) of their tokens."""
+    differ = [F.bit_count(F.col("parity_u")[i].bitwiseXOR(F.col("parity_v")[i])) for i in range(PARITY_LONGS)]
+    return (100 + percent) * reduce(add, differ) <= (100 - percent) * (F.col("n_u") + F.col("n_v"))
+
+
+def _pairs(spark: SparkSession, postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that share enough prefix tokens; ``postings`` as `_mixed` leaves them.
+
+    The component with most postings of a list meets the others there, not itself.
+    """
+    reachable = _reachable(postings, percent)
+    most = reachable.groupBy("token", "root").count().groupBy("token").agg(F.max(F.struct("count", "root")).alias("most"))
+    marked = reachable.join(most, "token").withColumn("main", F.col("root") == F.col("most.root")).drop("most")
+    marked = written(spark, marked.join(sets.select("node", "parity"), "node"))
     left, right = (
-        postings.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "least", "place", "root")])
+        marked.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "least", "place", "root", "main", "parity")])
         for side in "uv"
     )
-    met = left.join(right, "token").filter(
-        (F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _may_link(percent)
+    met = left.filter(~F.col("main_u")).join(right, "token").filter(
+        (F.col("main_v") | (F.col("node_u") < F.col("node_v"))) & (F.col("root_u") != F.col("root_v"))
+        & _may_link(percent) & _few_differences(percent)
     )
-    counted = met.groupBy(F.col("node_u").alias("u"), F.col("node_v").alias("v")).agg(
+    counted = met.groupBy(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v")).agg(
         F.count("*").alias("shared"), F.first(F.least("least_u", "least_v")).alias("needed")
     )
-    return counted.filter("shared >= needed").select("u", "v")
+    pairs = written(spark, counted.filter("shared >= needed").select("u", "v"))
+    discard(marked)
+    return pairs
 
 
 def _linked_roots(spark: SparkSession, lists: DataFrame, sets: DataFrame, spec: JoinSpec) -> DataFrame:
@@ -383,7 +437,7 @@ def _linked_roots(spark: SparkSession, lists: DataFrame, sets: DataFrame, spec:
             break
     if not turn:
         active = _mixed(active)
-    pairs = written(spark, _pairs(active, spec.percent))
+    pairs = _pairs(spark, active, sets, spec.percent)
     return _merged_roots(spark, roots, written(spark, verified(pairs, sets, spec.percent))).select("node", "root")
 
 

@@ -143,6 +143,44 @@ def test_jaccard_join_of_large_families(spark, spec, monkeypatch):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr) == want
 
 
+def test_jaccard_join_makes_few_pairs_with_a_large_family(spark, monkeypatch):
+    """Texts just too far from each member of a family are not all compared with all of them."""
+    base = [f"w{i}" for i in range(60)]  # 56 shingles; 48 of them must be shared
+    rows = []
+    for i in range(200):  # 2 shingles fewer, at one end or the other
+        text = list(base)
+        text[1 if i % 2 else -2] = f"a{i}"
+        rows.append((i, " ".join(text)))
+    for i in range(40):  # 8 others fewer
+        text = list(base)
+        text[6 + i], text[9 + i] = f"c{i}", f"d{i}"
+        rows.append((200 + i, " ".join(text)))
+    asked = []
+    compare = jaccard_join.verified
+
+    def counting(pairs, *rest):
+        asked.append(pairs.count())
+        return compare(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "verified", counting)
+    found = jaccard_join.near_duplicates(spark, documents(spark, rows))
+    got = sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr)
+    assert got == plain_components(rows)
+    assert len({c for _, _, c in got}) == 41
+    assert asked[-1] < 1000  # half of the 200 x 40 pairs share a prefix token
+
+
+def test_parity_bits_never_exceed_the_differences():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 30, 700, 5000):
+        tokens = rng.integers(0, 2**64, size + 40, np.uint64)
+        a, b = tokens[: size + 20], np.concatenate((tokens[:size], tokens[size + 20 :]))
+        x, y = (np.frombuffer(jaccard_join.parity(t), np.uint8) for t in (a, b))
+        assert 0 <= int(np.bitwise_count(x ^ y).sum()) <= 40
+        assert len(x) == 8 * jaccard_join.PARITY_LONGS
+        assert not (x ^ np.frombuffer(jaccard_join.parity(a[::-1]), np.uint8)).any()
+
+
 def test_first_of_each_group_stays_with_its_columns(spark, near_rows):
     docs = documents(spark, near_rows)
     kept = jaccard_join.keep_first(spark, docs)
