@@ -294,7 +294,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * shared >= percent * (F.col("n_u") + F.col("n_v") - shared)).select("u", "v")
 
 
-def _may_link(percent: int) -> Column:
+def _told_apart(sizes: Column, percent: int) -> Column:
+    """Whether sets with this sum of sizes link only when they differ in so few tokens that parity bits tell."""
+    return 4 * (100 - percent) * sizes <= 64 * PARITY_LONGS * (100 + percent)
+
+
+def _may_link(percent: int, matches: Column) -> Column:
     """Whether two documents that meet in a token can still link.
 
     Besides sizes that fit: tokens are ordered, so from the j-th shared one on at
@@ -303,7 +308,7 @@ def _may_link(percent: int) -> Column:
     """
     small, large = F.least("n_u", "n_v"), F.greatest("n_u", "n_v")
     tail = F.least(F.col("n_u") - F.col("place_u"), F.col("n_v") - F.col("place_v"))
-    enough = (100 + percent) * (tail + F.least("least_u", "least_v") - 1) >= percent * (F.col("n_u") + F.col("n_v"))
+    enough = (100 + percent) * (tail + matches - 1) >= percent * (F.col("n_u") + F.col("n_v"))
     return (100 * small >= percent * large) & enough
 
 
@@ -322,7 +327,7 @@ def _stars(postings: DataFrame, turn: int, percent: int, leaders: int) -> DataFr
         F.col("least").alias("least_u"), F.col("leader.least").alias("least_v"),
         F.col("place").alias("place_u"), F.col("leader.place").alias("place_v"),
     )
-    pairs = pairs.filter((F.col("root") != F.col("other")) & _may_link(percent))
+    pairs = pairs.filter((F.col("root") != F.col("other")) & _may_link(percent, F.least("least_u", "least_v")))
     counted = pairs.groupBy("u", "v").count()
     # A document has at most as many rows here as its prefix has tokens, times the leaders.
     order = F.sort_array(F.collect_list(F.struct("count", "v")), asc=False)
@@ -370,7 +375,8 @@ def _reachable(postings: DataFrame, percent: int) -> DataFrame:
     met = classes.groupBy("token").agg(F.collect_list(F.struct("low", "high", "tail", "least", "a", "b")).alias("met"))
 
     def links(x: Column) -> Column:
-        shared = F.least(tail, x["tail"]) + F.least("least", x["least"]) - 1
+        matches = F.when(_told_apart(F.col("n") + x["high"], percent), 1).otherwise(F.least("least", x["least"]))
+        shared = F.least(tail, x["tail"]) + matches - 1
         fits = 100 * F.least("n", x["high"]) >= percent * F.greatest("n", x["low"])
         other = (x["a"] != F.col("root")) | (x["b"] != F.col("root"))
         return other & fits & ((100 + percent) * shared >= percent * (F.col("n") + x["low"]))
@@ -388,7 +394,10 @@ def _pairs(spark: SparkSession, postings: DataFrame, sets: DataFrame, percent: i
     """All pairs of different components that share enough prefix tokens; ``postings`` as `_mixed` leaves them.
 
     The component with most postings of a list meets the others there, not itself.
+    Where parity bits tell sets apart, one shared token is enough: more would make
+    a row each, and longer prefixes to find them in.
     """
+    matches = F.when(_told_apart(F.col("n_u") + F.col("n_v"), percent), 1).otherwise(F.least("least_u", "least_v"))
     reachable = _reachable(postings, percent)
     most = reachable.groupBy("token", "root").count().groupBy("token").agg(F.max(F.struct("count", "root")).alias("most"))
     marked = reachable.join(most, "token").withColumn("main", F.col("root") == F.col("most.root")).drop("most")
@@ -399,10 +408,10 @@ def _pairs(spark: SparkSession, postings: DataFrame, sets: DataFrame, percent: i
     )
     met = left.filter(~F.col("main_u")).join(right, "token").filter(
         (F.col("main_v") | (F.col("node_u") < F.col("node_v"))) & (F.col("root_u") != F.col("root_v"))
-        & _may_link(percent) & _few_differences(percent)
+        & _may_link(percent, matches) & _few_differences(percent)
     )
     counted = met.groupBy(F.least("node_u", "node_v").alias("u"), F.greatest("node_u", "node_v").alias("v")).agg(
-        F.count("*").alias("shared"), F.first(F.least("least_u", "least_v")).alias("needed")
+        F.count("*").alias("shared"), F.first(matches).alias("needed")
     )
     pairs = written(spark, counted.filter("shared >= needed").select("u", "v"))
     discard(marked)

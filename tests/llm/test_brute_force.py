@@ -170,6 +170,14 @@ def test_jaccard_join_makes_few_pairs_with_a_large_family(spark, monkeypatch):
     assert asked[-1] < 1000  # half of the 200 x 40 pairs share a prefix token
 
 
+def test_jaccard_join_of_sets_too_large_for_their_bits(spark, near_rows, monkeypatch):
+    """With 64 bits only pairs of up to 112 tokens are told apart; the others need several matches."""
+    monkeypatch.setattr(jaccard_join, "PARITY_LONGS", 1)
+    found = jaccard_join.near_duplicates(spark, documents(spark, near_rows), jaccard_join.JoinSpec(star_rounds=0))
+    got = sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=repr)
+    assert got == plain_components(near_rows)
+
+
 def test_parity_bits_never_exceed_the_differences():
     rng = np.random.default_rng(5)
     for size in (0, 1, 30, 700, 5000):
